@@ -88,11 +88,29 @@ SCORER_FIELDS: tuple[FieldSpec, ...] = (
     _f("penalties", "penalties", "long", "optional"),
 )
 
+# Competitions: the pickers read code and name; area feeds the areas filter.
+COMPETITION_FIELDS: tuple[FieldSpec, ...] = (
+    _f("competition_id", "id"),
+    _f("competition_code", "code", "string"),
+    _f("competition_name", "name", "string"),
+    _f("area_id", "area.id", "long", "optional"),
+    _f("area_name", "area.name", "string", "optional"),
+)
+
+# Teams: the client never reads a team's fields; id and name are kept.
+TEAM_FIELDS: tuple[FieldSpec, ...] = (
+    _f("competition_code", "competition_code", "string", source="context"),
+    _f("team_id", "id"),
+    _f("team_name", "name", "string"),
+)
+
 # Entity -> (array key in the payload, field specs, partition column of its dataset)
 ENTITIES = {
     "matches": ("matches", MATCH_FIELDS, "match_date"),
     "standings": ("standings", STANDING_FIELDS, "competition_code"),
     "scorers": ("scorers", SCORER_FIELDS, "competition_code"),
+    "competitions": ("competitions", COMPETITION_FIELDS, None),
+    "teams": ("teams", TEAM_FIELDS, "competition_code"),
 }
 
 
@@ -109,7 +127,10 @@ MATCH = struct_of(MATCH_FIELDS)
 STANDING = struct_of(STANDING_FIELDS)
 SCORER = struct_of(SCORER_FIELDS)
 
-SCHEMAS = {"matches": MATCH, "standings": STANDING, "scorers": SCORER}
+COMPETITION = struct_of(COMPETITION_FIELDS)
+TEAM = struct_of(TEAM_FIELDS)
+
+SCHEMAS = {"matches": MATCH, "standings": STANDING, "scorers": SCORER, "competitions": COMPETITION, "teams": TEAM}
 
 # Landing table: one row per fetched response (or per failed request).
 LANDING = T.StructType(

@@ -64,10 +64,36 @@ def _landing(keys: DataFrame, endpoint: str, task_index: Column, params: Column,
     )
 
 
-def match_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+STATUS_CODES = {"FINISHED": "F", "SCHEDULED": "O", "IN_PLAY": "P"}
+
+
+def server_order_filter(season: int | None = None, status: str | None = None, date_from: str | None = None,
+                        date_to: str | None = None) -> Column:
+    """What the "server" evaluates for the request parameters, on the orders scan.
+
+    Every term is a plain comparison on a stored column, so it reaches the
+    Parquet reader as a pushed filter (row groups skipped by min/max).
+    """
+    cond = F.lit(True)
+    d = F.col("o_orderdate")
+    if season:
+        cond &= (d >= F.lit(f"{int(season):04d}-01-01").cast("timestamp_ntz")) & (
+            d < F.lit(f"{int(season) + 1:04d}-01-01").cast("timestamp_ntz"))
+    if status:
+        cond &= F.col("o_orderstatus") == F.lit(STATUS_CODES.get(status, "?"))
+    if date_from:
+        cond &= d >= F.lit(date_from).cast("timestamp_ntz")
+    if date_to:
+        cond &= d < F.date_add(F.lit(date_to).cast("date"), 1).cast("timestamp_ntz")
+    return cond
+
+
+def match_records(spark: SparkSession, sf_dir: str, **server_filter) -> DataFrame:
     """orders x customer x nation -> one nested match struct per order (plus routing keys)."""
     o = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+    if server_filter:
+        o = o.where(server_order_filter(**server_filter))
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
@@ -109,9 +135,9 @@ def match_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def matches_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+def matches_landing(spark: SparkSession, sf_dir: str, **server_filter) -> DataFrame:
     """Competition-matches responses: ``{"matches": [...]}`` per (competition, season, page)."""
-    recs = match_records(spark, sf_dir)
+    recs = match_records(spark, sf_dir, **server_filter)
     pages = recs.groupBy("competition", "season", "nation", "page").agg(F.collect_list("rec").alias("recs"))
     params = F.create_map(F.lit("competition"), F.col("competition"),
                           F.lit("season"), F.col("season").cast("string"))
@@ -202,10 +228,12 @@ def scorers_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.to_json(F.struct(F.col("recs").alias("scorers"))))
 
 
-def competitions_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+def competitions_landing(spark: SparkSession, sf_dir: str, areas: str | None = None) -> DataFrame:
     """``{"competitions": [...]}``, one page per region (areas), nations as competitions."""
     n = read_table(spark, sf_dir, "nation")
     r = read_table(spark, sf_dir, "region")
+    if areas:
+        r = r.where(F.col("r_regionkey").isin([int(a) for a in areas.split(",") if a.strip()]))
     j = n.join(r, n.n_regionkey == r.r_regionkey)
     rec = F.struct(
         F.col("n_nationkey").cast("bigint").alias("id"),
