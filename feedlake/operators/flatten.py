@@ -31,6 +31,7 @@ REC = "_rec"
 GRP = "_grp"
 PRE = "_pre_errors"
 ERRORS = "_errors"
+PART = "_part"
 
 
 def _null_str() -> Column:
@@ -115,4 +116,7 @@ def flatten_records(records: DataFrame, entity: str, keep: tuple[str, ...] = ())
     errs = F.coalesce(not_object, F.filter(F.array(*checks), lambda x: x.isNotNull()))
     if has_pre:
         errs = F.when(F.size(F.col(PRE)) > 0, F.col(PRE)).otherwise(errs)
-    return s2.select(*keep, *values, errs.alias(ERRORS))
+    # ``_part`` (the task's partition id, reported by fail-fast errors) is
+    # nondeterministic, so a filter on ``_errors`` stays above this projection
+    # instead of being pushed below it with every check inlined a second time.
+    return s2.select(*keep, *values, errs.alias(ERRORS), F.spark_partition_id().alias(PART))

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.operators.flatten import ERRORS, REC
+from feedlake.operators.flatten import ERRORS, PART, REC
 from feedlake.schemas import ENTITIES
 
 MODES = ("failfast", "quarantine", "permissive")
@@ -33,7 +33,8 @@ def failfast(flat: DataFrame, entity: str) -> DataFrame:
     first = F.col(ERRORS).getItem(0)
     msg = F.concat(F.lit(f"invalid {entity} record: field "), first["field"], F.lit(", reason "), first["reason"],
                    F.lit(", task "), F.col("task_index").cast("string"), F.lit(", page "),
-                   F.col("page").cast("string"), F.lit(", position "), F.col("_pos").cast("string"))
+                   F.col("page").cast("string"), F.lit(", position "), F.col("_pos").cast("string"),
+                   F.lit(", partition "), F.col(PART).cast("string"))
     guard = F.when(F.size(F.col(ERRORS)) > 0, F.raise_error(msg)).isNull()
     return flat.where(guard).select(*_names(entity))
 
