@@ -103,7 +103,7 @@ JOIN nation n ON c.c_nationkey = n.n_nationkey
 
 def _import_all() -> None:
     """Query modules register themselves on import."""
-    from feedlake.plans import queries_core, queries_ops, queries_shape, queries_sinks  # noqa: F401
+    from feedlake.plans import queries_core, queries_fetch, queries_ops, queries_shape, queries_sinks  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

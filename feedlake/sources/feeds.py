@@ -213,7 +213,7 @@ def scorer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def scorers_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+def scorers_landing(spark: SparkSession, sf_dir: str, season: int = SCORER_SEASON) -> DataFrame:
     """Scorer responses in server order (goals desc, then player id) within each page."""
     recs = scorer_records(spark, sf_dir)
     def server_order(a, b):
@@ -223,8 +223,8 @@ def scorers_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = recs.groupBy("competition", "nation", "page").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("neg_goals", "c_custkey", "rec")), server_order),
                     lambda x: x["rec"]).alias("recs"))
-    params = F.create_map(F.lit("competition"), F.col("competition"), F.lit("season"), F.lit(str(SCORER_SEASON)))
-    return _landing(pages, "scorers", F.col("nation") * 10000 + SCORER_SEASON, params, F.col("page"),
+    params = F.create_map(F.lit("competition"), F.col("competition"), F.lit("season"), F.lit(str(season)))
+    return _landing(pages, "scorers", F.col("nation") * 10000 + season, params, F.col("page"),
                     F.to_json(F.struct(F.col("recs").alias("scorers"))))
 
 
@@ -257,3 +257,42 @@ def teams_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     params = F.create_map(F.lit("competition"), competition_code(F.col("nation")))
     return _landing(pages, "competition_teams", F.col("nation"), params, F.col("page"),
                     F.to_json(F.struct(F.col("recs").alias("teams"))))
+
+
+def number_pages(landing: DataFrame) -> DataFrame:
+    """Renumber each request's pages 1..N and add ``total_pages``.
+
+    Numbering is a running count over (task_index, page) keys only - the
+    distributed prefix scan, so a request with very many pages is not walked
+    by one task - then joined back on the unique (task_index, page).
+    """
+    from feedlake.operators.scan import prefix_scan
+
+    keys = landing.select("task_index", "page", F.lit(1).cast("bigint").alias("_one"))
+    numbered = prefix_scan(keys, ["task_index"], ["page"], "_one", "sum", "page_no")
+    totals = keys.groupBy("task_index").agg(F.count("*").alias("total_pages"))
+    return (landing.join(numbered.select("task_index", "page", "page_no"), ["task_index", "page"])
+            .join(totals, "task_index"))
+
+
+def store_rows(landing: DataFrame, endpoint: str) -> DataFrame:
+    """Landing pages -> canned API responses keyed like the client's requests.
+
+    Bodies gain ``total_pages``; page 1 is the bare URL, later pages ``page=i``.
+    """
+    from feedlake.sources.requests import ENDPOINTS, render_path
+
+    ep = ENDPOINTS[endpoint]
+    numbered = number_pages(landing)
+    comp = F.col("params").getItem("competition")
+    sent = F.map_filter(F.col("params"), lambda k, v: k.isin(list(ep.params)))
+    body = F.concat(F.lit('{"total_pages":'), F.col("total_pages").cast("string"), F.lit(","),
+                    F.expr("substring(payload, 2)"))
+    return numbered.select(
+        "task_index",
+        render_path(endpoint, competition=comp if "{competition}" in ep.path else None).alias("path"),
+        sent.alias("params"),
+        F.create_map(F.lit("competition"), comp).alias("args"),
+        F.col("page_no").alias("page"),
+        body.alias("body"),
+    )

@@ -84,12 +84,21 @@ def query_string(params: Column) -> Column:
 
 def request_table(df: DataFrame, endpoint: str, task_index: Column, competition: Column | None = None,
                   team: Column | None = None, **params: Column) -> DataFrame:
-    """Any DataFrame -> request rows; extra columns are dropped."""
+    """Any DataFrame -> request rows; extra columns are dropped.
+
+    ``args`` holds the path arguments (competition / team): standings and
+    scorers take their competition from the request, not the payload.
+    """
+    args = [F.lit(k) for k in ()]
+    for k, c in (("competition", competition), ("team", team)):
+        if c is not None:
+            args += [F.lit(k), c.cast("string")]
     return df.select(
         task_index.cast("bigint").alias("task_index"),
         F.lit(endpoint).alias("endpoint"),
         render_path(endpoint, competition, team).alias("path"),
         sent_params(endpoint, params).alias("params"),
+        (F.create_map(*args) if args else F.create_map().cast("map<string,string>")).alias("args"),
     )
 
 
