@@ -61,9 +61,14 @@ def _field_value(f: FieldSpec, t: Column, s: Column) -> tuple[Column, Column]:
     return coerce.lax_string(t, s)
 
 
-def flatten_records(records: DataFrame, entity: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Exploded records (``_rec`` [+ ``_grp`` / ``_pre_errors``]) -> flat rows + ``_errors``."""
-    _, fields, _ = ENTITIES[entity]
+def flatten_records(records: DataFrame, entity: str | None, keep: tuple[str, ...] = (),
+                    fields: tuple[FieldSpec, ...] | None = None) -> DataFrame:
+    """Exploded records (``_rec`` [+ ``_grp`` / ``_pre_errors``]) -> flat rows + ``_errors``.
+
+    ``fields`` overrides the entity's specs (ad-hoc record shapes).
+    """
+    if fields is None:
+        _, fields, _ = ENTITIES[entity]
     has_pre = PRE in records.columns
     carry = list(keep) + ([PRE] if has_pre else [])
 

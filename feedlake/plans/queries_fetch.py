@@ -7,6 +7,8 @@ same request -> landing -> flatten path a live API run would.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from feedlake.plans import jobs
 from feedlake.plans.catalog import CODE, MATCH_ROWS_SQL, SCORER_ROWS_SQL, STANDING_ROWS_SQL, register
 from feedlake.schemas import SCHEMAS
 from feedlake.session import read_table, scratch_path
-from feedlake.sources import feeds, requests
+from feedlake.sources import feeds, requests, rest_json
 from feedlake.sources.fetch import fetch_requests, write_store
 
 
@@ -104,3 +106,64 @@ def q_season_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [spark.read.schema(SCHEMAS[e]).parquet(p).agg(F.count("*").alias("n_rows"))
               .select(F.lit(e).alias("entity"), "n_rows") for e, p in paths.items()]
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+PAGE_SIZE = 100
+
+
+def order_pages_store(spark: SparkSession, sf_dir: str, base: str, bare_first: bool, drop_every: int | None):
+    """Orders as a generic paged listing: ``{total_pages, records}``, 100 orders a page by key."""
+    o = read_table(spark, sf_dir, "orders")
+    page = (F.floor(F.col("o_orderkey") / PAGE_SIZE) + 1).cast("bigint")
+    rec = F.struct("o_orderkey", "o_custkey", "o_orderstatus")
+    pages = o.groupBy(page.alias("page")).agg(F.collect_list(rec).alias("records"))
+    total = o.agg(F.max(page).alias("n")).first()["n"]  # one scalar
+    rows = pages.select("page", F.lit(total).cast("bigint").alias("total_pages"), "records")
+    if drop_every:
+        rows = rows.where(F.col("page") % drop_every != 0)
+    path = F.lit(base) if bare_first else F.concat(F.lit(base), F.lit("?page=1"))
+    return rows.select(
+        F.col("page").alias("task_index"),
+        F.when(F.col("page") == 1, path).otherwise(F.lit(base)).alias("path"),
+        F.create_map().cast("map<string,string>").alias("params"),
+        F.create_map().cast("map<string,string>").alias("args"),
+        F.when(F.col("page") == 1, F.lit(1)).otherwise(F.col("page")).cast("bigint").alias("page"),
+        F.to_json(F.struct("total_pages", "records")).alias("body"))
+
+
+def _read_pages(spark: SparkSession, conf: dict, base: str, mode: str, total: int | None = None) -> DataFrame:
+    rest_json.register(spark)
+    r = (spark.read.format("rest_json").option("url", base).option("transport", json.dumps(conf))
+         .option("mode", mode).option("pages_per_partition", "8"))
+    if total is not None:
+        r = r.option("total_pages", str(total))
+    return r.load()
+
+
+@register("page_records", """
+SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_orderkey // 100 + 1 AS BIGINT) AS page FROM orders
+""")
+def q_page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequential paged scan (page 1 bare, reports total_pages), pages fetched in parallel."""
+    base = "/orders"
+    conf = _store(spark, order_pages_store(spark, sf_dir, base, True, None))
+    pages = _read_pages(spark, conf, base, "sequential")
+    recs = rest_json.explode_page_records(pages, {"o_orderkey": "o_orderkey:bigint", "o_custkey": "o_custkey:bigint",
+                                                  "o_orderstatus": "o_orderstatus:string"})
+    return recs.select("o_orderkey", "o_custkey", "o_orderstatus", "page")
+
+
+@register("page_drop_failed", """
+SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_orderkey // 100 + 1 AS BIGINT) AS page FROM orders
+WHERE (o_orderkey // 100 + 1) % 7 <> 0
+""")
+def q_page_drop_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Threaded paged scan with caller-given total_pages; missing pages (404) are dropped."""
+    base = "/orders"
+    conf = _store(spark, order_pages_store(spark, sf_dir, base, False, 7))
+    total = read_table(spark, sf_dir, "orders").agg(
+        (F.floor(F.max("o_orderkey") / PAGE_SIZE) + 1).cast("bigint").alias("n")).first()["n"]
+    pages = _read_pages(spark, conf, base, "threaded", int(total))
+    recs = rest_json.explode_page_records(pages, {"o_orderkey": "o_orderkey:bigint", "o_custkey": "o_custkey:bigint",
+                                                  "o_orderstatus": "o_orderstatus:string"})
+    return recs.select("o_orderkey", "o_custkey", "o_orderstatus", "page")
