@@ -34,12 +34,13 @@ def text_to_long(s: Column, pattern: str = INT_TEXT) -> Column:
     return F.when(s.rlike(pattern), F.regexp_replace(s, r"[\s_]|\.0+\s*$", "").try_cast("bigint"))
 
 
-def lax_long(t: Column, s: Column) -> tuple[Column, Column]:
+def lax_long(t: Column, s: Column, i: Column | None = None) -> tuple[Column, Column]:
     """(LONG value, reason) for a present, non-null value of type ``t`` and text ``s``.
 
-    One normalised text per value, then a single ``try_cast`` (which rejects
-    fractions and values beyond 64 bits); doubles are checked numerically
-    because their text may be in exponent form.
+    ``i`` is the value read directly as BIGINT: the common, well-typed case
+    then needs no text at all. Otherwise one normalised text per value and a
+    single ``try_cast`` (which rejects fractions and values beyond 64 bits);
+    doubles are checked numerically because their text may be in exponent form.
     """
     normal = (
         F.when(t == "BOOLEAN", F.when(s == "true", F.lit("1")).otherwise(F.lit("0")))
@@ -49,6 +50,8 @@ def lax_long(t: Column, s: Column) -> tuple[Column, Column]:
     dbl = s.try_cast("double")
     value = F.when(t == "DOUBLE", F.when((dbl == F.floor(dbl)) & (F.abs(dbl) < F.lit(9.2e18)),
                                          dbl.cast("bigint"))).otherwise(normal.try_cast("bigint"))
+    if i is not None:
+        value = F.when(t == "BIGINT", i).otherwise(value)
     return value, F.when(value.isNull(), F.lit("type"))
 
 

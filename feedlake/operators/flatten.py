@@ -47,7 +47,11 @@ def _base(f: FieldSpec) -> str:
     return GRP if f.source == "group" else REC
 
 
-def _field_value(f: FieldSpec, t: Column, s: Column) -> tuple[Column, Column]:
+def _direct_long(f: FieldSpec) -> bool:
+    return f.kind == "long" and f.derive is None
+
+
+def _field_value(f: FieldSpec, t: Column, s: Column, i: Column | None = None) -> tuple[Column, Column]:
     """(value, conversion reason) for a present, non-null leaf."""
     if f.derive == "year4":
         text, r1 = coerce.lax_string(t, s)
@@ -57,7 +61,7 @@ def _field_value(f: FieldSpec, t: Column, s: Column) -> tuple[Column, Column]:
         text, r = coerce.lax_string(t, s)
         return F.substring(text, 1, 10), r
     if f.kind == "long":
-        return coerce.lax_long(t, s)
+        return coerce.lax_long(t, s, i)
     return coerce.lax_string(t, s)
 
 
@@ -88,11 +92,20 @@ def flatten_records(records: DataFrame, entity: str | None, keep: tuple[str, ...
                         *[c.alias(n) for n, c in leaves.values()],
                         *[c.alias(n) for n, c in parents.values()])
 
-    # Stage 2: type name + text of each leaf; reason of each parent.
+    # Stage 2: type name + text of each leaf (a plain LONG leaf typed BIGINT is read
+    # directly and needs no text); reason of each parent.
+    by_name = {f.name: f for f in fields}
+
+    def text(name: str, n: str) -> Column:
+        s = F.try_variant_get(F.col(n), "$", "string")
+        return F.when(F.schema_of_variant(F.col(n)) != "BIGINT", s) if _direct_long(by_name[name]) else s
+
     s2 = s1.select(
         *carry, "_rt", *[f"_c{i}" for i, f in enumerate(fields) if f.source == "context"],
         *[F.schema_of_variant(F.col(n)).alias(n + "t") for n, _ in leaves.values()],
-        *[F.try_variant_get(F.col(n), "$", "string").alias(n + "s") for n, _ in leaves.values()],
+        *[text(name, n).alias(n + "s") for name, (n, _) in leaves.items()],
+        *[F.try_variant_get(F.col(n), "$", "bigint").alias(n + "i") for name, (n, _) in leaves.items()
+          if _direct_long(by_name[name])],
         *[coerce.parent_reason(F.schema_of_variant(F.col(n))).alias(n + "r") for n, _ in parents.values()],
     )
 
@@ -106,7 +119,7 @@ def flatten_records(records: DataFrame, entity: str | None, keep: tuple[str, ...
         else:
             n = leaves[f.name][0]
             t, s = F.col(n + "t"), F.col(n + "s")
-            conv_value, conv_reason = _field_value(f, t, s)
+            conv_value, conv_reason = _field_value(f, t, s, F.col(n + "i") if _direct_long(f) else None)
             missing = _null_str() if f.presence == "optional" else F.lit("missing")
             null = F.lit("null") if f.presence == "required" else _null_str()
             r = F.when(t.isNull(), missing).when(t == "VOID", null).otherwise(conv_reason)
