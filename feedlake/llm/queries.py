@@ -6,20 +6,36 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedlake.llm import exact_dedup, sharding
+from feedlake.llm import exact_dedup, mixing, sharding, tokens, url_rules
 from feedlake.session import read_table
 
+TOKENIZER = "word_bpe_49k.json"
+
+
+def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return tokens.encode_and_digest(read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_table(spark, sf_dir, "documents"))
+
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(read_table(spark, sf_dir, "pages"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_exact_dedup, op10_sharding)}
+    return {f.__name__: f for f in (op1_token_output, op3_source_mixing, op5_exact_dedup, op8_url_rules, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
