@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedlake.llm import exact_dedup, mixing, sharding, tokens, url_rules
+from feedlake.llm import exact_dedup, html_text, mixing, sharding, tokens, url_rules
 from feedlake.session import read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -26,6 +26,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(read_table(spark, sf_dir, "pages"))
 
@@ -35,7 +39,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_output, op3_source_mixing, op5_exact_dedup, op8_url_rules, op10_sharding)}
+    return {f.__name__: f for f in (op1_token_output, op3_source_mixing, op5_exact_dedup, op7_html_text, op8_url_rules,
+                                    op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
