@@ -75,6 +75,7 @@ class _Page:
     def __init__(self) -> None:
         self.tag, self.parent, self.away, self.block, self.link = ["#"], [0], [False], [0], [False]
         self.out: list[tuple[int, str] | None] = []
+        self.headers: list[int] = []
 
     def add(self, tag: str, parent: int, away: bool) -> int:
         n = len(self.tag)
@@ -134,9 +135,9 @@ def _parse(html: str) -> _Page:
                 close = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(html, at)
                 at = close.end() if close else end
                 continue
-            if tag == "div" and _HEADER.search(attrs):
-                tag = "header"
             stack.append(page.add(tag, stack[-1], away))
+            if tag == "header" or attrs and _HEADER.search(attrs):
+                page.headers.append(stack[-1])
             if attrs.endswith("/") and tag not in BLOCK and tag in ("svg", "math"):
                 stack.pop()
         else:
@@ -163,9 +164,10 @@ def main_text(html: str | None) -> str:
     page = _parse(html)
     n, parent, tags = len(page.tag), page.parent, page.tag
     away = page.away
-    for i in range(1, n):  # a page's header is left out, an article's own header stays
-        if away[parent[i]] or tags[i] == "header" and not _header_of_article(page, i):
-            away[i] = True
+    for i in page.headers:  # a page's header is left out, an article's own header stays
+        away[i] = away[i] or not _header_of_article(page, i)
+    for i in range(1, n):
+        away[i] = away[i] or away[parent[i]]
     size, linked, commas = [0] * n, [0] * n, [0] * n
     for e in page.out:
         if e is not None and not away[e[0]]:

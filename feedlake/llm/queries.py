@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedlake.llm import exact_dedup, html_text, mixing, sharding, tokens, url_rules
+from feedlake.llm import decontaminate, exact_dedup, html_text, mixing, quality, sharding, tokens, url_rules
 from feedlake.session import read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -18,6 +18,10 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode_and_digest(read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
@@ -26,6 +30,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(read_table(spark, sf_dir, "pages"))
 
@@ -39,9 +47,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_output, op3_source_mixing, op5_exact_dedup, op7_html_text, op8_url_rules,
-                                    op10_sharding)}
+    return {f.__name__: f for f in (
+        op1_token_output, op2_quality, op3_source_mixing, op5_exact_dedup, op6_decontaminate, op7_html_text,
+        op8_url_rules, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_dedup": exact_dedup.ORACLE, "op10_sharding": sharding.oracle()}
+    return {"op5_exact_dedup": exact_dedup.ORACLE, "op6_decontaminate": decontaminate.ORACLE,
+            "op10_sharding": sharding.oracle()}
