@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedlake.llm import decontaminate, exact_dedup, html_text, mixing, quality, sharding, tokens, url_rules
+from feedlake.llm import decontaminate, exact_dedup, html_text, mixing, quality, sharding, similar, tokens, url_rules
 from feedlake.session import read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -26,6 +26,10 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar.join(read_table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(read_table(spark, sf_dir, "documents"))
 
@@ -48,10 +52,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_token_output, op2_quality, op3_source_mixing, op5_exact_dedup, op6_decontaminate, op7_html_text,
+        op1_token_output, op2_quality, op3_source_mixing, op4_ngram_join, op5_exact_dedup, op6_decontaminate, op7_html_text,
         op8_url_rules, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_dedup": exact_dedup.ORACLE, "op6_decontaminate": decontaminate.ORACLE,
+    return {"op4_ngram_join": similar.ORACLE, "op5_exact_dedup": exact_dedup.ORACLE, "op6_decontaminate": decontaminate.ORACLE,
             "op10_sharding": sharding.oracle()}
