@@ -36,6 +36,18 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_arrow_batches(spark, rows: int = 1000, size: str = "8m") -> None:
+    """Keep Arrow batches of long texts small: a few MB held by a task instead of tens.
+
+    This sets two session settings (batch sizes only, results never depend on them)
+    and leaves smaller values alone.
+    """
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)):
+        now = spark.conf.get(key)
+        if not now.rstrip("b").isdigit() or not 0 < int(now.rstrip("b")) <= most:
+            spark.conf.set(key, str(rows) if most == rows else size)
+
+
 def bounded_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only if the (written, hence cheaply counted) table is small."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

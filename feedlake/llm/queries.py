@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedlake.llm import decontaminate, exact_dedup, html_text, mixing, quality, sharding, similar, tokens, url_rules
+from feedlake.llm import decontaminate, exact_dedup, html_text, mixing, quality, sharding, similar, suffix_dedup, tokens, url_rules
 from feedlake.session import read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -46,6 +46,10 @@ def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(read_table(spark, sf_dir, "pages"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.find(read_table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"))
 
@@ -53,7 +57,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_token_output, op2_quality, op3_source_mixing, op4_ngram_join, op5_exact_dedup, op6_decontaminate, op7_html_text,
-        op8_url_rules, op10_sharding)}
+        op8_url_rules, op9_suffix_dedup, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:

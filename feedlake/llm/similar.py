@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedlake.llm.common import bounded_broadcast, text_of, written
+from feedlake.llm.common import bounded_broadcast, small_arrow_batches, text_of, written
 from feedlake.llm.components import components
 from feedlake.llm.words import mix, shingle_sets
 
@@ -271,6 +271,7 @@ def _mixed(rows: DataFrame) -> DataFrame:
 
 def link_classes(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(rows: doc_id, n, h1, h2), (classes: node, h1, h2, component)."""
+    small_arrow_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", text_of().alias("text"))
     index = written(texts.mapInArrow(
