@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedlake.llm.common import small_arrow_batches
+
 #: HTML element names by kind.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea title iframe noembed noframes xmp".split())
@@ -243,6 +245,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def extract(pages: DataFrame) -> DataFrame:
     """One row per page: page_id, url, text, n_chars."""
+    small_arrow_batches(pages.sparkSession)
     rows = pages.select("page_id", "url", F.col("html").cast("string").alias("html"))
     kinds = [rows.schema[c].dataType.simpleString() for c in ("page_id", "url")]
     return rows.mapInArrow(_extract, f"page_id {kinds[0]}, url {kinds[1]}, text string, n_chars bigint")

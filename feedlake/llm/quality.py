@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.llm.common import text_of
+from feedlake.llm.common import small_arrow_batches, text_of
 
 FEATURES = ("log_bytes", "upper", "digits", "bang", "bar", "marks", "stops", "non_ascii", "word_length", "long_words",
             "new_words", "new_pairs", "same_next", "line_words", "marked_words")
@@ -148,6 +148,7 @@ def _partial_moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     """Fit on at most ``train_rows`` labelled rows outside the held-out fold."""
+    small_arrow_batches(docs.sparkSession)
     d = len(FEATURES)
     picked = (labels.select(F.col("doc_id").alias("_id"), F.col("quality").cast("int").alias("label"))
               .filter(F.col("_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out("_id"))

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedlake.llm.common import bounded_broadcast, text_of
+from feedlake.llm.common import bounded_broadcast, small_arrow_batches, text_of
 from feedlake.session import scratch_path
 
 END_ID = 1
@@ -182,6 +182,7 @@ def _encode_batches(path: str, end_id: int, step: int = 256):
 
 def write_tokens(docs: DataFrame, tokenizer_path: str, out: str, end_id: int = END_ID) -> None:
     """Encode ``docs`` (doc_id, text) and write the token files to ``out``."""
+    small_arrow_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", text_of().alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     coded = rows.mapInArrow(_encode_batches(tokenizer_path, end_id),
