@@ -48,7 +48,7 @@ def lax_long(t: Column, s: Column, i: Column | None = None) -> tuple[Column, Col
         .when((t == "BIGINT") | t.startswith("DECIMAL"), F.regexp_replace(s, r"\.0*$", ""))
     )
     dbl = s.try_cast("double")
-    value = F.when(t == "DOUBLE", F.when((dbl == F.floor(dbl)) & (F.abs(dbl) < F.lit(9.2e18)),
+    value = F.when(t == "DOUBLE", F.when((dbl == F.floor(dbl)) & (dbl >= F.lit(-(2.0**63))) & (dbl < F.lit(2.0**63)),
                                          dbl.cast("bigint"))).otherwise(normal.try_cast("bigint"))
     if i is not None:
         value = F.when(t == "BIGINT", i).otherwise(value)
@@ -75,3 +75,9 @@ def parent_reason(t: Column) -> Column:
         .when(t == "VOID", F.lit("null_parent"))
         .when(~t.startswith("OBJECT"), F.lit("type"))
     )
+
+
+def int_div(x: Column, n: Column | int) -> Column:
+    """Integer division toward zero on LONGs (exact, unlike ``floor(x / n)``, which goes through DOUBLE)."""
+    n = n if isinstance(n, Column) else F.lit(n).cast("bigint")
+    return F.call_function("div", x.cast("bigint"), n)

@@ -8,18 +8,23 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from feedlake.functions import coerce
+
 # Fixed value: separator of "code — name" picker labels.
 LABEL_SEP = " — "
 
 
 def year4(text: Column, strict: bool = True) -> Column:
-    """First four characters as an integer year (P5).
+    """First four characters as an integer year (P5), by the rule the flatten uses.
 
-    ``strict`` uses an ANSI cast, which raises on a non-integer like ``int()``;
-    otherwise ``try_cast`` gives NULL (quarantine mode).
+    ``strict`` raises on text that is not a year, whatever the session's ANSI
+    setting; otherwise it gives NULL (quarantine mode). NULL text stays NULL.
     """
-    head = F.substring(text, 1, 4)
-    return head.cast("bigint") if strict else head.try_cast("bigint")
+    year, reason = coerce.year_of(text)
+    if not strict:
+        return year
+    bad = text.isNotNull() & reason.isNotNull()
+    return F.when(bad, F.raise_error(F.concat(F.lit("not a year: "), text)).cast("bigint")).otherwise(year)
 
 
 def date10(text: Column) -> Column:

@@ -12,9 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Status choices offered by the pickers ('All' means no filter).
-MATCH_STATUSES = ("SCHEDULED", "LIVE", "IN_PLAY", "PAUSED", "FINISHED", "POSTPONED", "SUSPENDED", "CANCELLED")
-TEAM_MATCH_STATUSES = ("SCHEDULED", "IN_PLAY", "PAUSED", "FINISHED", "POSTPONED", "SUSPENDED", "CANCELLED")
+# Fixed value: the pickers' "no filter" choice.
 ALL = "All"
 
 

@@ -10,12 +10,13 @@ shuffle keyed by function name: small, one row per name per task).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+import time
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-# Log message of timed runs, and event names the client logs.
+# Fixed value: log message of timed runs.
 RUN_COMPLETED = "Run completed"
-EVENTS = ("sink.write_complete", "api.request", "rate_limited", "fetch_threaded.task_failed", RUN_COMPLETED)
 FIXED = ("time", "level", "logger", "msg")
 
 
@@ -48,3 +49,22 @@ def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Attach a row counter that fills when ``df`` is consumed (K7: rows written)."""
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+RUNS = "job string, started_ms bigint, duration_ms bigint, rows_written bigint, ok boolean"
+
+
+class RunRecord:
+    """One metrics row per job run, appended to ``path`` when the run ends, whether it succeeded or not."""
+
+    def __init__(self, spark: SparkSession, path: str | None, job: str):
+        self.spark, self.path, self.job, self.start = spark, path, job, time.time()
+        self.rows, self.ok = None, False
+
+    def done(self, rows: int | None) -> None:
+        self.rows, self.ok = rows, True
+
+    def close(self) -> None:
+        if self.path is not None:
+            row = (self.job, int(self.start * 1000), int((time.time() - self.start) * 1000), self.rows, self.ok)
+            self.spark.createDataFrame([row], RUNS).coalesce(1).write.mode("append").parquet(self.path)

@@ -9,17 +9,23 @@ An unknown mode is an error (the client silently fell back to sequential).
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.operators import filters
 from feedlake.operators.entity import flatten_entity
+from feedlake.operators.metrics import RunRecord
 from feedlake.schemas import ENTITIES, SCHEMAS
 from feedlake.sinks import writers
 from feedlake.sources import requests
-from feedlake.sources.fetch import fetch_requests
-from feedlake.sources.landing import DOC, classify
+from feedlake.sources.fetch import FetchError, fetch_requests
+from feedlake.sources.landing import DOC, classify, failed_tasks
 
+# Fixed value: calls per minute the API's free tier allows.
+DEFAULT_QUOTA = 10
+REJECTS = "task_index bigint, page bigint, _pos int, record string, field string, reason string"
 MODES = {"sequential": (1, "fail"), "threaded": (None, "null"), "async": (None, "fail")}
 
 
@@ -50,21 +56,67 @@ def task_outcomes(reqs: DataFrame, landing: DataFrame, entity: str) -> DataFrame
                       F.coalesce("n_records", F.lit(0)).cast("bigint").alias("n_records"))
 
 
-def ingest(spark: SparkSession, reqs: DataFrame, entity: str, conf: dict, landing_path: str, output: str | None,
-           fmt: str = "parquet", mode: str = "threaded", validation: str = "failfast",
-           **filter_args) -> tuple[DataFrame, int | None]:
-    """J1-J4 core: fetch, flatten, filter on landed rows, write. Returns (rows, written)."""
-    par, on_error = mode_options(mode)
-    landing = fetch_requests(spark, reqs, conf, landing_path, on_error=on_error, parallelism=par)
-    rows = flatten_entity(landing, entity, validation).valid
-    if entity == "matches" and filter_args:
-        rows = filters.filter_matches(rows, **filter_args)
-    written = None
-    if output is not None:
-        part = ENTITIES[entity][2]
-        written = writers.write_records(rows, f"{output.rstrip('/')}/{entity}", fmt, [part] if part else [],
-                                        SCHEMAS[entity])
-    return rows, written
+@dataclass
+class JobResult:
+    """What a job leaves: valid rows, rejected fields, requests without a usable payload, and the rows written."""
+
+    rows: DataFrame
+    rejects: DataFrame
+    failed: DataFrame
+    written: int | None
+
+
+def land(spark: SparkSession, reqs: DataFrame, conf: dict, landing_path: str, mode: str = "threaded", workers: int = 3,
+         quota: int | None = DEFAULT_QUOTA, window_s: float = 60.0, policy: str = "entity") -> DataFrame:
+    """Fetch requests under a mode; the quota is shared by the tasks, so there are never more tasks than calls."""
+    par, on_error = mode_options(mode, workers)
+    return fetch_requests(spark, reqs, conf, landing_path, on_error=on_error,
+                          parallelism=par if quota is None else min(par, quota), quota=quota, window_s=window_s, policy=policy)
+
+
+def _checked(landing: DataFrame, entity: str, mode: str) -> DataFrame:
+    """Failed requests and unusable bodies; the modes that stop at the first error raise instead."""
+    failed = failed_tasks(landing, ENTITIES[entity][0])
+    if MODES[mode][1] == "fail":
+        first = failed.agg(F.min(F.struct("task_index", "page", "error")).alias("e")).first().e
+        if first is not None:
+            raise FetchError(f"task {first.task_index} page {first.page}: {first.error}")
+    return failed
+
+
+def ingest(spark: SparkSession, reqs: DataFrame, entity: str, conf: dict, landing_path: str, output: str | None = None,
+           fmt: str = "parquet", mode: str = "threaded", validation: str = "quarantine", workers: int = 3,
+           quota: int | None = DEFAULT_QUOTA, window_s: float = 60.0, policy: str = "entity",
+           metrics_path: str | None = None, team: int | None = None, limit: int | None = None, **filter_args) -> JobResult:
+    """Fetch, flatten, re-apply the request's filters on landed rows, write, record.
+
+    ``entity`` endpoints use the entity retry policy and a quota of 10 calls per
+    minute unless told otherwise. ``validation``: ``quarantine`` keeps rejects
+    beside the valid rows, ``failfast`` stops at the first bad record. With
+    ``team`` (J4) only that team's matches stay, the first ``limit`` of them.
+    ``metrics_path`` gets one row per run, also when the run fails.
+    """
+    mode_options(mode)
+    run = RunRecord(spark, metrics_path, f"ingest_{entity}")
+    try:
+        landing = land(spark, reqs, conf, landing_path, mode, workers, quota, window_s, policy)
+        failed = _checked(landing, entity, mode)
+        checked = flatten_entity(landing, entity, validation)
+        rows = checked.valid
+        if team is not None:
+            rows = filters.team_matches(rows, team, requests.DEFAULT_TEAM_LIMIT if limit is None else limit, **filter_args)
+        elif entity == "matches" and filter_args:
+            rows = filters.filter_matches(rows, **filter_args)
+        written = None
+        if output is not None:
+            part = ENTITIES[entity][2]
+            written = writers.write_records(rows, f"{output.rstrip('/')}/{entity}", fmt, [part] if part else [],
+                                            SCHEMAS[entity])
+        rejects = checked.rejects if checked.rejects is not None else spark.createDataFrame([], REJECTS)
+        run.done(written)
+        return JobResult(rows, rejects, failed, written)
+    finally:
+        run.close()
 
 
 def _one(spark: SparkSession) -> DataFrame:
@@ -90,8 +142,8 @@ def entity_requests(spark: SparkSession, endpoint: str, competition: str, season
                                   season=F.lit(season))
 
 
-def season_dump(spark: SparkSession, competition: str, season: int, conf: dict, out_root: str,
-                mode: str = "threaded") -> dict[str, str]:
+def season_dump(spark: SparkSession, competition: str, season: int, conf: dict, out_root: str, mode: str = "threaded",
+                quota: int | None = DEFAULT_QUOTA, policy: str = "entity", metrics_path: str | None = None) -> dict[str, str]:
     """Three requests, one landing, three flattens, one dataset root per entity."""
     reqs = (requests.request_table(_one(spark), "competition_matches", F.lit(1), competition=F.lit(competition),
                                    season=F.lit(season))
@@ -99,22 +151,27 @@ def season_dump(spark: SparkSession, competition: str, season: int, conf: dict,
                                                 season=F.lit(season)))
             .unionByName(requests.request_table(_one(spark), "scorers", F.lit(3), competition=F.lit(competition),
                                                 season=F.lit(season))))
-    par, on_error = mode_options(mode)
-    landing = fetch_requests(spark, reqs, conf, f"{out_root}/_landing", on_error=on_error, parallelism=par)
+    landing = land(spark, reqs, conf, f"{out_root}/_landing", mode, quota=quota, policy=policy)
     paths = {}
     for endpoint, entity in (("competition_matches", "matches"), ("standings", "standings"), ("scorers", "scorers")):
-        rows = flatten_entity(landing.where(F.col("endpoint") == endpoint), entity).valid
-        path = f"{out_root}/{entity}"
-        writers.write_partitioned(rows, path, [ENTITIES[entity][2]], SCHEMAS[entity])
-        paths[entity] = path
+        run = RunRecord(spark, metrics_path, f"season_dump_{entity}")
+        try:
+            own = landing.where(F.col("endpoint") == endpoint)
+            _checked(own, entity, mode)
+            rows = flatten_entity(own, entity).valid
+            paths[entity] = f"{out_root}/{entity}"
+            run.done(writers.write_partitioned(rows, paths[entity], [ENTITIES[entity][2]], SCHEMAS[entity]))
+        finally:
+            run.close()
     return paths
 
 
 def bulk_standings(spark: SparkSession, competitions_landing: DataFrame, season: int, conf: dict, landing_path: str,
-                   workers: int = 4) -> DataFrame:
+                   mode: str = "threaded", workers: int = 4, quota: int | None = DEFAULT_QUOTA,
+                   policy: str = "entity") -> DataFrame:
     """Competitions -> one standings request each -> skip failed / empty -> one union of rows."""
     comps = flatten_entity(competitions_landing, "competitions").valid
     reqs = requests.request_table(comps, "standings", F.col("competition_id") * 10000 + F.lit(season),
                                   competition=F.col("competition_code"), season=F.lit(season))
-    landing = fetch_requests(spark, reqs, conf, landing_path, on_error="null", parallelism=workers)
+    landing = land(spark, reqs, conf, landing_path, mode, workers, quota, policy=policy)
     return flatten_entity(filters.skip_empty(landing), "standings").valid

@@ -12,10 +12,12 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedlake.functions.coerce import int_div
 from feedlake.plans import jobs
 from feedlake.plans.catalog import CODE, MATCH_ROWS_SQL, SCORER_ROWS_SQL, STANDING_ROWS_SQL, register
 from feedlake.schemas import SCHEMAS
 from feedlake.session import read_table, scratch_path
+from feedlake.sinks import writers
 from feedlake.sources import feeds, requests, rest_json
 from feedlake.sources.fetch import fetch_requests, write_store
 
@@ -30,7 +32,7 @@ def match_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Competition-match responses, with a few broken on purpose (fixed rule, mirrored in SQL):
     nation % 7 = 3 absent (404); nation % 11 = 5 in 1996 malformed; nation 4 in 1997 answers 429."""
     rows = feeds.store_rows(feeds.matches_landing(spark, sf_dir), "competition_matches")
-    nation = (F.col("task_index") / 10000).cast("bigint")
+    nation = int_div(F.col("task_index"), 10000)
     season = F.col("task_index") % 10000
     malformed = (nation % 11 == 5) & (season == 1996)
     throttled = (nation == 4) & (season == 1997)
@@ -71,7 +73,7 @@ def q_task_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                         "season").distinct()
     reqs = requests.request_table(keys, "competition_matches", F.col("nation") * 10000 + F.col("season"),
                                   competition=feeds.competition_code(F.col("nation")), season=F.col("season"))
-    landing = fetch_requests(spark, reqs, conf, scratch_path(spark, "landing"), on_error="null", parallelism=4,
+    landing = fetch_requests(spark, reqs, conf, scratch_path(spark, "landing"), on_error="null", parallelism=None,
                              max_429=2)
     return jobs.task_outcomes(reqs, landing, "matches")
 
@@ -83,29 +85,158 @@ WHERE season_start_year = 1996 AND CAST(substr(competition_code, 2) AS INT) % 7
 def q_bulk_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every competition's standings for one season; failed / empty requests skipped, rest unioned."""
     rows = feeds.store_rows(feeds.standings_landing(spark, sf_dir), "standings")
-    nation = (F.col("task_index") / 10000).cast("bigint")
+    nation = int_div(F.col("task_index"), 10000)
     conf = _store(spark, rows.where(nation % 7 != 3))
     comps = feeds.competitions_landing(spark, sf_dir)
-    return jobs.bulk_standings(spark, comps, 1996, conf, scratch_path(spark, "landing"))
+    return jobs.bulk_standings(spark, comps, 1996, conf, scratch_path(spark, "landing"), quota=None)
 
 
-@register("season_dump", f"""
-SELECT 'matches' AS entity, count(*) AS n_rows FROM ({MATCH_ROWS_SQL}) m
-  WHERE competition_code = 'N05' AND season_start_year = 1996
-UNION ALL SELECT 'standings', count(*) FROM ({STANDING_ROWS_SQL}) s
-  WHERE competition_code = 'N05' AND season_start_year = 1996
-UNION ALL SELECT 'scorers', count(*) FROM ({SCORER_ROWS_SQL}) c WHERE competition_code = 'N05'
-""")
+def _checksums(cols: list[str]) -> str:
+    """DuckDB: one text per row over all columns, nulls marked, as md5; summed as the first 7 hex digits."""
+    parts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in cols)
+    return f"CAST(sum(('0x' || substr(md5(concat_ws('|', {parts})), 1, 7))::BIGINT) AS BIGINT)"
+
+
+def _checksum(cols: list[str]):
+    row = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in cols])
+    return F.sum(F.conv(F.substring(F.md5(row.cast("binary")), 1, 7), 16, 10).cast("bigint"))
+
+
+@register("season_dump", " UNION ALL ".join(f"""
+SELECT '{entity}' AS entity, count(*) AS n_rows, {_checksums(SCHEMAS[entity].names)} AS checksum
+FROM ({sql}) x WHERE competition_code = 'N05' AND season_start_year = 1996
+""" for entity, sql in (("matches", MATCH_ROWS_SQL), ("standings", STANDING_ROWS_SQL),
+                        ("scorers", SCORER_ROWS_SQL.replace("CAST(2024 AS BIGINT)", "CAST(1996 AS BIGINT)")))))
 def q_season_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Matches + standings + scorers of one competition and season, one landing, three roots."""
+    """Matches + standings + scorers of one competition and season, one landing, three roots; row checksums."""
     store = (feeds.store_rows(feeds.matches_landing(spark, sf_dir), "competition_matches")
              .unionByName(feeds.store_rows(feeds.standings_landing(spark, sf_dir), "standings"))
              .unionByName(feeds.store_rows(feeds.scorers_landing(spark, sf_dir, season=1996), "scorers")))
-    conf = _store(spark, store)
-    paths = jobs.season_dump(spark, "N05", 1996, conf, scratch_path(spark, "dump"))
-    counts = [spark.read.schema(SCHEMAS[e]).parquet(p).agg(F.count("*").alias("n_rows"))
-              .select(F.lit(e).alias("entity"), "n_rows") for e, p in paths.items()]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+    asked = F.col("args").getItem("competition") == "N05"
+    conf = _store(spark, store.where(asked & (F.coalesce(F.col("params").getItem("season"), F.lit("")) == "1996")))
+    paths = jobs.season_dump(spark, "N05", 1996, conf, scratch_path(spark, "dump"), quota=None)
+    out = [spark.read.schema(SCHEMAS[e]).parquet(p).agg(
+        F.count("*").alias("n_rows"), _checksum(SCHEMAS[e].names).alias("checksum"))
+        .select(F.lit(e).alias("entity"), "n_rows", "checksum") for e, p in paths.items()]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+def _store_of(spark: SparkSession, landing: DataFrame, endpoint: str, throttle: bool = False) -> dict:
+    """Responses of one endpoint; with ``throttle`` every first page answers 429 once before its body."""
+    rows = feeds.store_rows(landing, endpoint)
+    if throttle:
+        rows = rows.withColumn("first_status", F.when(F.col("page") == 1, 429))
+    return _store(spark, rows)
+
+
+@register("job_matches", f"""
+SELECT * FROM ({MATCH_ROWS_SQL}) m
+WHERE competition_code = 'N05' AND season_start_year = 1996 AND status = 'FINISHED'
+""")
+def q_job_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every first page is throttled once; the entity policy asks again. Status is re-applied on landed rows."""
+    rows = feeds.matches_landing(spark, sf_dir)
+    conf = _store_of(spark, rows, "competition_matches", throttle=True)
+    out = scratch_path(spark, "job")
+    reqs = jobs.matches_requests(spark, "N05", 1996)
+    jobs.ingest(spark, reqs, "matches", conf, f"{out}/landing", out, mode="sequential", validation="failfast", quota=None,
+                season=1996, status="FINISHED")
+    return writers.read_partitioned(spark, f"{out}/matches", SCHEMAS["matches"])
+
+
+@register("job_standings", f"""
+SELECT * FROM ({STANDING_ROWS_SQL}) s WHERE competition_code = 'N05' AND season_start_year = 1996
+""")
+def q_job_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Standings of one competition and season, threaded mode (an absent competition gives no rows), partitioned Parquet."""
+    conf = _store_of(spark, feeds.standings_landing(spark, sf_dir), "standings")
+    out = scratch_path(spark, "job")
+    jobs.ingest(spark, jobs.entity_requests(spark, "standings", "N05", 1996), "standings", conf, f"{out}/landing", out,
+                quota=None)
+    return writers.read_partitioned(spark, f"{out}/standings", SCHEMAS["standings"])
+
+
+@register("job_scorers", f"""
+SELECT * FROM ({SCORER_ROWS_SQL}) s WHERE competition_code = 'N05'
+""")
+def q_job_scorers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scorers of one competition and season, async mode, CSV."""
+    conf = _store_of(spark, feeds.scorers_landing(spark, sf_dir), "scorers")
+    out = scratch_path(spark, "job")
+    jobs.ingest(spark, jobs.entity_requests(spark, "scorers", "N05", feeds.SCORER_SEASON), "scorers", conf, f"{out}/landing",
+                out, fmt="csv", mode="async", quota=None)
+    return writers.read_csv(spark, f"{out}/scorers", SCHEMAS["scorers"])
+
+
+TEAM, TEAM_LIMIT = 1005, 25
+
+
+@register("job_team", f"""
+SELECT * FROM ({MATCH_ROWS_SQL}) m WHERE (home_team_id = {TEAM} OR away_team_id = {TEAM}) AND status = 'FINISHED'
+ORDER BY utc_date, match_id LIMIT {TEAM_LIMIT}
+""")
+def q_job_team(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One team's matches; the canned server ignores team, status and limit, the job applies them again."""
+    landed = feeds.matches_landing(spark, sf_dir).where(F.col("params").getItem("competition") == "N05")
+    reqs = jobs.team_requests(spark, TEAM, status="FINISHED", limit=TEAM_LIMIT)
+    pages = feeds.number_pages(landed.withColumn("page", F.col("task_index") * 1_000_000 + F.col("page"))
+                               .withColumn("task_index", F.lit(0).cast("bigint")))
+    body = F.concat(F.lit('{"total_pages":'), F.col("total_pages").cast("string"), F.lit(","), F.expr("substring(payload, 2)"))
+    rows = pages.select("task_index", F.col("page_no").alias("page"), body.alias("body")).join(
+        reqs.select("task_index", "path", "params", "args"), "task_index")
+    out = scratch_path(spark, "job")
+    jobs.ingest(spark, reqs, "matches", _store(spark, rows), f"{out}/landing", out, quota=None, team=TEAM, limit=TEAM_LIMIT,
+                status="FINISHED")
+    return writers.read_partitioned(spark, f"{out}/matches", SCHEMAS["matches"])
+
+
+def _season_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return requests.request_table(
+        read_table(spark, sf_dir, "nation"), "competition_matches", F.col("n_nationkey").cast("bigint") * 10000 + 1996,
+        competition=feeds.competition_code(F.col("n_nationkey")), season=F.lit(1996))
+
+
+@register("job_failed_tasks", """
+WITH r AS (
+  SELECT CAST(c.c_nationkey AS BIGINT) AS nation, count(*) AS n FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  WHERE year(o.o_orderdate) = 1996 GROUP BY ALL)
+SELECT CAST(n.n_nationkey AS BIGINT) * 10000 + 1996 AS task_index, CAST(1 AS BIGINT) AS page,
+       CAST(CASE WHEN r.n IS NULL OR n.n_nationkey % 7 = 3 THEN 404 ELSE 200 END AS BIGINT) AS http_status,
+       CASE WHEN r.n IS NULL OR n.n_nationkey % 7 = 3 THEN 'HTTP 404: not found' ELSE 'malformed_json' END AS error
+FROM nation n LEFT JOIN r ON r.nation = n.n_nationkey
+WHERE r.n IS NULL OR n.n_nationkey % 7 = 3 OR n.n_nationkey % 11 = 5
+""")
+def q_job_failed_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests of one season over all competitions; absent (404) and malformed ones are a job output."""
+    conf = _store(spark, match_store(spark, sf_dir))
+    done = jobs.ingest(spark, _season_matches(spark, sf_dir), "matches", conf, scratch_path(spark, "landing"),
+                       workers=spark.sparkContext.defaultParallelism, quota=None)
+    return done.failed.select("task_index", "page", "http_status", "error")
+
+
+@register("job_rejects", f"""
+SELECT match_id, CASE WHEN match_id % 2 = 0 THEN 'matchday' ELSE 'status' END AS field,
+       CASE WHEN match_id % 2 = 0 THEN 'type' ELSE 'missing' END AS reason
+FROM ({MATCH_ROWS_SQL}) m WHERE match_id % 20 IN (6, 13)
+""")
+def q_job_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V2: a job over all requests keeps the rejected fields beside the valid rows."""
+    landed = feeds.matches_landing(spark, sf_dir)
+    # fixed defects: a text matchday in every match id ending 6 mod 20, no status in those ending 13 mod 20
+    recs = F.from_json("payload", "struct<matches:array<string>>")["matches"]
+    one = landed.select("*", F.posexplode(recs).alias("_i", "_r"))
+    k = F.get_json_object("_r", "$.id").cast("bigint") % 20
+    with_day = F.concat(F.lit('{"matchday":"x",'), F.regexp_replace(F.expr("substring(_r, 2)"), '"matchday":[0-9]+,', ""))
+    bad = F.when(k == 6, with_day).when(k == 13, F.regexp_replace("_r", '"status":"[A-Z_]+",', "")).otherwise(F.col("_r"))
+    pages = one.groupBy("task_index", "endpoint", "params", "page", "http_status", "status", "attempts", "error").agg(
+        F.concat(F.lit('{"matches":['), F.array_join(F.collect_list(bad), ","), F.lit("]}")).alias("payload"))
+    conf = _store(spark, feeds.store_rows(pages, "competition_matches"))
+    keys = landed.select("task_index", F.col("params").getItem("competition").alias("c"),
+                         F.col("params").getItem("season").cast("int").alias("s")).distinct()
+    reqs = requests.request_table(keys, "competition_matches", F.col("task_index"), competition=F.col("c"), season=F.col("s"))
+    done = jobs.ingest(spark, reqs, "matches", conf, scratch_path(spark, "landing"),
+                       workers=spark.sparkContext.defaultParallelism, quota=None)
+    return done.rejects.select(F.get_json_object("record", "$.id").cast("bigint").alias("match_id"), "field", "reason")
 
 
 PAGE_SIZE = 100
@@ -114,7 +245,7 @@ PAGE_SIZE = 100
 def order_pages_store(spark: SparkSession, sf_dir: str, base: str, bare_first: bool, drop_every: int | None):
     """Orders as a generic paged listing: ``{total_pages, records}``, 100 orders a page by key."""
     o = read_table(spark, sf_dir, "orders")
-    page = (F.floor(F.col("o_orderkey") / PAGE_SIZE) + 1).cast("bigint")
+    page = int_div(F.col("o_orderkey"), PAGE_SIZE) + 1
     rec = F.struct("o_orderkey", "o_custkey", "o_orderstatus")
     pages = o.groupBy(page.alias("page")).agg(F.collect_list(rec).alias("records"))
     total = o.agg(F.max(page).alias("n")).first()["n"]  # one scalar
@@ -134,7 +265,7 @@ def order_pages_store(spark: SparkSession, sf_dir: str, base: str, bare_first: b
 def _read_pages(spark: SparkSession, conf: dict, base: str, mode: str, total: int | None = None) -> DataFrame:
     rest_json.register(spark)
     r = (spark.read.format("rest_json").option("url", base).option("transport", json.dumps(conf))
-         .option("mode", mode).option("pages_per_partition", "8"))
+         .option("mode", mode))
     if total is not None:
         r = r.option("total_pages", str(total))
     return r.load()
@@ -153,6 +284,18 @@ def q_page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recs.select("o_orderkey", "o_custkey", "o_orderstatus", "page")
 
 
+@register("page_records_async", """
+SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_orderkey // 100 + 1 AS BIGINT) AS page FROM orders
+""")
+def q_page_records_async(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bounded-concurrency scheme: the first page tells N, any failed page aborts."""
+    base = "/orders"
+    conf = _store(spark, order_pages_store(spark, sf_dir, base, True, None))
+    recs = rest_json.explode_page_records(_read_pages(spark, conf, base, "async"), {
+        "o_orderkey": "o_orderkey:bigint", "o_custkey": "o_custkey:bigint", "o_orderstatus": "o_orderstatus:string"})
+    return recs.select("o_orderkey", "o_custkey", "o_orderstatus", "page")
+
+
 @register("page_drop_failed", """
 SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_orderkey // 100 + 1 AS BIGINT) AS page FROM orders
 WHERE (o_orderkey // 100 + 1) % 7 <> 0
@@ -162,7 +305,7 @@ def q_page_drop_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = "/orders"
     conf = _store(spark, order_pages_store(spark, sf_dir, base, False, 7))
     total = read_table(spark, sf_dir, "orders").agg(
-        (F.floor(F.max("o_orderkey") / PAGE_SIZE) + 1).cast("bigint").alias("n")).first()["n"]
+        (int_div(F.max("o_orderkey"), PAGE_SIZE) + 1).alias("n")).first()["n"]
     pages = _read_pages(spark, conf, base, "threaded", int(total))
     recs = rest_json.explode_page_records(pages, {"o_orderkey": "o_orderkey:bigint", "o_custkey": "o_custkey:bigint",
                                                   "o_orderstatus": "o_orderstatus:string"})

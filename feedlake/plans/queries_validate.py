@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedlake.functions.coerce import int_div
 from feedlake.operators.entity import flatten_entity
 from feedlake.operators.flatten import ERRORS, REC, flatten_records
 from feedlake.plans.catalog import register
 from feedlake.schemas import FieldSpec
 from feedlake.session import read_table
 from feedlake.sources import feeds
-from feedlake.sources.feeds import PAGE_KEYS
 
 N_FIELD = (FieldSpec("n", "n", "long", "required"),)
 
@@ -26,7 +26,7 @@ def _variant_text(k, cust):
         F.concat(F.lit('{"n": "'), ks, F.lit('.0"}')),
         F.concat(F.lit('{"n": '), ks, F.lit(".0}")),
         F.when(cust % 2 == 0, F.lit('{"n": true}')).otherwise(F.lit('{"n": false}')),
-        F.concat(F.lit('{"n": "'), F.floor(k / 1000).cast("string"), F.lit("_"), F.lpad((k % 1000).cast("string"), 3, "0"),
+        F.concat(F.lit('{"n": "'), int_div(k, 1000).cast("string"), F.lit("_"), F.lpad((k % 1000).cast("string"), 3, "0"),
                  F.lit('"}')),
         F.concat(F.lit('{"n": "+'), ks, F.lit('"}')),
         F.concat(F.lit('{"n": '), ks, F.lit(".5}")),
@@ -88,6 +88,3 @@ def q_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V2/V3: every failing field of every bad record, with the record kept for replay."""
     v = flatten_entity(corrupted_matches_landing(spark, sf_dir), "matches", "quarantine")
     return v.rejects.select(F.get_json_object("record", "$.id").cast("bigint").alias("match_id"), "field", "reason")
-
-
-__all__ = ["PAGE_KEYS"]

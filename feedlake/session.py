@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -52,7 +53,7 @@ def shared_root(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(found)
         return found.rstrip("/")
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):  # not local-cluster
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     local = tempfile.mkdtemp(prefix="feedlake-ckpt-")
     sc.setCheckpointDir(local)

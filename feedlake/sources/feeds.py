@@ -39,7 +39,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.session import read_table
+from feedlake.functions.coerce import int_div
+from feedlake.session import read_table, scratch_path
 
 PAGE_KEYS = 1000
 SCORER_SEASON = 2024
@@ -108,8 +109,8 @@ def match_records(spark: SparkSession, sf_dir: str, **server_filter) -> DataFram
     score = F.to_variant_object(F.struct(
         winner.alias("winner"),
         F.struct(F.when(finished, ft_h).alias("home"), F.when(finished, ft_a).alias("away")).alias("fullTime"),
-        F.struct(F.when(started, F.floor(ft_h / 2)).cast("bigint").alias("home"),
-                 F.when(started, F.floor(ft_a / 2)).cast("bigint").alias("away")).alias("halfTime"),
+        F.struct(F.when(started, int_div(ft_h, 2)).alias("home"),
+                 F.when(started, int_div(ft_a, 2)).alias("away")).alias("halfTime"),
     ))
     nation_key = F.col("n_nationkey").cast("bigint")
     rec = F.struct(
@@ -121,7 +122,7 @@ def match_records(spark: SparkSession, sf_dir: str, **server_filter) -> DataFram
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("utcDate"),
         status.alias("status"),
         F.when(started, F.month("o_orderdate")).cast("bigint").alias("matchday"),
-        F.upper(F.regexp_replace(F.substring("o_orderpriority", 3, 100), " ", "_")).alias("stage"),
+        F.upper(F.regexp_replace(F.expr("substring(o_orderpriority, 3)"), " ", "_")).alias("stage"),
         F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")).alias("homeTeam"),
         F.struct((nation_key + 1000).alias("id"), F.concat("n_name", F.lit(" XI")).alias("name")).alias("awayTeam"),
         score.alias("score"),
@@ -130,7 +131,7 @@ def match_records(spark: SparkSession, sf_dir: str, **server_filter) -> DataFram
         competition_code(F.col("n_nationkey")).alias("competition"),
         year.alias("season"),
         nation_key.alias("nation"),
-        F.floor(F.col("o_orderkey") / PAGE_KEYS).alias("page"),
+        int_div(F.col("o_orderkey"), PAGE_KEYS).alias("page"),
         rec.alias("rec"),
     )
 
@@ -158,7 +159,7 @@ def standings_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     j = li.join(s, li.l_suppkey == s.s_suppkey)
     played = F.floor("l_quantity").cast("bigint")
-    won, draw = F.floor(played / 3).cast("bigint"), played % 3
+    won, draw = int_div(played, 3), played % 3
     gf = F.floor("l_extendedprice").cast("bigint") % 100
     ga = F.round(F.col("l_discount") * 100).cast("bigint")
     row = F.struct(
@@ -174,7 +175,7 @@ def standings_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
         competition_code(F.col("s_nationkey")).alias("competition"),
         F.col("s_nationkey").cast("bigint").alias("nation"),
         F.year("l_shipdate").alias("season"),
-        F.floor(F.col("l_orderkey") / PAGE_KEYS).alias("page"),
+        int_div(F.col("l_orderkey"), PAGE_KEYS).alias("page"),
         "l_orderkey", row.alias("row"),
     ).repartition("competition", "season", "page")
     gtype = F.when(F.col("l_orderkey") % 3 == 0, "TOTAL").when(F.col("l_orderkey") % 3 == 1, "HOME").otherwise("AWAY")
@@ -208,7 +209,7 @@ def scorer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(
         competition_code(F.col("n_nationkey")).alias("competition"),
         F.col("n_nationkey").cast("bigint").alias("nation"),
-        F.floor(F.col("c_custkey") / PAGE_KEYS).alias("page"),
+        int_div(F.col("c_custkey"), PAGE_KEYS).alias("page"),
         (-goals).alias("neg_goals"), F.col("c_custkey"), rec.alias("rec"),
     )
 
@@ -253,7 +254,7 @@ def teams_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rec = F.struct(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"),
                    F.col("s_acctbal").alias("balance"))
     pages = s.groupBy(F.col("s_nationkey").cast("bigint").alias("nation"),
-                      F.floor(F.col("s_suppkey") / PAGE_KEYS).alias("page")).agg(F.collect_list(rec).alias("recs"))
+                      int_div(F.col("s_suppkey"), PAGE_KEYS).alias("page")).agg(F.collect_list(rec).alias("recs"))
     params = F.create_map(F.lit("competition"), competition_code(F.col("nation")))
     return _landing(pages, "competition_teams", F.col("nation"), params, F.col("page"),
                     F.to_json(F.struct(F.col("recs").alias("teams"))))
@@ -262,12 +263,17 @@ def teams_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def number_pages(landing: DataFrame) -> DataFrame:
     """Renumber each request's pages 1..N and add ``total_pages``.
 
-    Numbering is a running count over (task_index, page) keys only - the
-    distributed prefix scan, so a request with very many pages is not walked
-    by one task - then joined back on the unique (task_index, page).
+    ``landing`` is written once; numbering is a running count over its
+    (task_index, page) keys only - the distributed prefix scan, so a request
+    with very many pages is not walked by one task - then joined back on the
+    unique (task_index, page).
     """
     from feedlake.operators.scan import prefix_scan
 
+    spark = landing.sparkSession
+    path = scratch_path(spark, "pages")
+    landing.write.parquet(path)
+    landing = spark.read.schema(landing.schema).parquet(path)
     keys = landing.select("task_index", "page", F.lit(1).cast("bigint").alias("_one"))
     numbered = prefix_scan(keys, ["task_index"], ["page"], "_one", "sum", "page_no")
     totals = keys.groupBy("task_index").agg(F.count("*").alias("total_pages"))

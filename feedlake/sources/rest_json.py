@@ -5,7 +5,7 @@
         .option("transport", json.dumps({"kind": "file", "root": ...}))
         .option("mode", "sequential")                   # sequential | threaded | async
         .option("total_pages", "12")                    # threaded: given by the caller
-        .option("pages_per_partition", "4")
+        .option("partitions", "64")                     # at most so many input partitions
         .option("on_error", "fail")                     # fail | drop
         .load()
 
@@ -16,10 +16,14 @@ payload`` (the page body; ``records`` is exploded downstream with
 sequential / async: the first page is the bare URL and reports
 ``total_pages``; it is fetched once while planning (on the driver, one
 request) and carried into the first partition, so it is never fetched twice.
-Pages 2..N are split into input partitions that executors fetch in parallel;
-page order is the ``page`` column, not arrival order.
+If it fails, the read fails, whatever ``on_error`` says: without it the number
+of pages is unknown. Pages 2..N are split into at most ``partitions`` ranges
+that executors fetch in parallel; page order is the ``page`` column, not
+arrival order. Rows leave one by one.
 threaded: URLs ``?page=1..N`` with N from the option; failed pages are
 dropped (``on_error=drop``, the client's behaviour) or fail the read.
+429 answers are waited for without bound unless ``max_429`` is given; a page
+that is still throttled then fails the read, it is never dropped.
 The auth token (``transport.token``) is never part of a row or the plan text
 shown by ``explain`` (options are not printed by the scan node).
 """
@@ -38,10 +42,11 @@ SCHEMA = "page bigint, http_status bigint, status string, attempts bigint, error
 
 
 class PagePartition(InputPartition):
-    def __init__(self, pages: list[int], first: dict | None = None):
-        super().__init__(pages)
-        self.pages = pages
-        self.first = first
+    """Pages start..stop-1, and the first page's landed row where it was fetched while planning."""
+
+    def __init__(self, start: int, stop: int, first: dict | None = None):
+        super().__init__((start, stop))
+        self.start, self.stop, self.first = start, stop, first
 
 
 def _page_url(base: str, page: int, bare_first: bool) -> str:
@@ -61,13 +66,18 @@ class RestJsonReader(DataSourceReader):
         self.on_error = options.get("on_error", "drop" if self.mode == "threaded" else "fail")
         if self.on_error not in ("fail", "drop"):
             raise ValueError(f"unknown on_error {self.on_error!r}")
-        self.per_part = max(1, int(options.get("pages_per_partition", "1")))
+        self.partition_count = max(1, int(options.get("partitions", "64")))
         self.total = options.get("total_pages")
         self.quota = int(options["quota_per_partition"]) if options.get("quota_per_partition") else None
-
-    def _fetch(self, page: int, limiter) -> dict:
-        got = tp.fetch(self.conf, _page_url(self.url, page, self.mode != "threaded"), limiter)
-        if got["status"] != "ok" and self.on_error == "fail":
+        self.max_429 = int(options["max_429"]) if options.get("max_429") else None
+
+    def _fetch(self, page: int, limiter) -> dict | None:
+        """The page's row; None for a failed page that may be dropped."""
+        got = tp.fetch(self.conf, _page_url(self.url, page, self.mode != "threaded"), limiter, max_429=self.max_429)
+        if got["status"] != "ok":
+            first = page == 1 and self.mode != "threaded"
+            if self.on_error == "drop" and not first and tp.may_drop(got):
+                return None
             raise RuntimeError(f"Failed to fetch {self.url} page {page}: {got['error']}")
         return dict(page=page, **got)
 
@@ -75,26 +85,22 @@ class RestJsonReader(DataSourceReader):
         if self.mode == "threaded":
             if self.total is None:
                 raise ValueError("threaded mode needs the total_pages option")
-            pages, first = list(range(1, int(self.total) + 1)), None
+            start, last, first = 1, int(self.total), None
         else:
             first = self._fetch(1, tp.Limiter(self.quota))
-            n = 1
-            if first["status"] == "ok":
-                n = int(json.loads(first["payload"])["total_pages"])
-            pages = list(range(2, n + 1))
-        parts = [PagePartition(pages[i:i + self.per_part]) for i in range(0, len(pages), self.per_part)]
+            start, last = 2, int(json.loads(first["payload"])["total_pages"])
+        step = max(1, -(-max(last - start + 1, 0) // self.partition_count))
+        parts = [PagePartition(p, min(p + step, last + 1)) for p in range(start, last + 1, step)]
         if first is not None:
-            parts.insert(0, PagePartition([], first))
-        return parts or [PagePartition([])]
+            parts.insert(0, PagePartition(0, 0, first))
+        return parts or [PagePartition(0, 0)]
 
     def read(self, partition: PagePartition):
         limiter = tp.Limiter(self.quota)
-        rows = ([partition.first] if partition.first is not None else []) + [
-            self._fetch(p, limiter) for p in partition.pages]
-        for r in rows:
-            if r["status"] != "ok" and self.on_error == "drop":
-                continue
-            yield (r["page"], r["http_status"], r["status"], r["attempts"], r["error"], r["payload"])
+        rows = (self._fetch(p, limiter) for p in range(partition.start, partition.stop))
+        for r in [partition.first] if partition.first is not None else rows:
+            if r is not None:
+                yield (r["page"], r["http_status"], r["status"], r["attempts"], r["error"], r["payload"])
 
 
 class RestJsonDataSource(DataSource):

@@ -5,24 +5,29 @@ per-row cost is the network, not the interpreter.
 
 Transports (picklable config dicts, built on the executor):
   ``{"kind": "file", "root": <dir>}``  canned responses, one JSON file per
-      request at ``<root>/<sha1(url)>.json``: ``{"status", "retry_after", "body"}``;
-      an absent file is a 404. Written by ``write_store`` (tests, replays).
+      request at ``<root>/<sha1(url)>.json``: ``{"status", "retry_after", "body"}``
+      or ``{"responses": [...]}`` with one such object per attempt (the last
+      one repeats). A file that is absent from an existing folder is a 404; any
+      other storage fault is "no response". Written by ``write_store`` (tests, replays).
   ``{"kind": "http", "base_url": ..., "token": ..., "timeout_s": ...}``
       real GETs with the auth header; cannot be exercised in this container.
 
 Retry loop (``retry.py`` documents the same rules as column expressions):
-  page policy    429 waits Retry-After (default 5 s, at most ``max_429`` times);
+  page policy    429 waits Retry-After (default 5 s) and asks again, without
+                 bound unless ``max_429`` is given;
                  >= 500 / no response retried up to 3 tries with capped backoff;
                  other 4xx fail at once.
   entity policy  429 -> one retry after Retry-After (default 60 s); else fail.
-Every attempt, retries included, goes through the task's rate limiter.
+Every attempt, retries included, goes through the task's rate limiter and is
+counted in ``attempts``. A body that cannot be read or decoded is "no response".
 """
 
 from __future__ import annotations
 
-import collections
 import hashlib
+import http.client
 import json
+import re
 import time
 import urllib.error
 import urllib.request
@@ -35,25 +40,29 @@ def request_key(url: str) -> str:
 
 
 class Limiter:
-    """At most ``limit`` calls in any trailing ``window_s`` for this task."""
+    """At most ``limit`` calls in any trailing ``window_s``: call i goes at max(now, time of call i - limit + window).
 
-    def __init__(self, limit: int | None, window_s: float = 60.0, sleep=time.sleep, clock=time.monotonic):
+    ``not_before`` (clock time) holds back the first call, e.g. until calls of an earlier phase have left the window.
+    """
+
+    def __init__(self, limit: int | None, window_s: float = 60.0, sleep=time.sleep, clock=time.time,
+                 not_before: float | None = None):
         if limit is not None and limit < 1:
             raise ValueError("limit must be >= 1")
-        self.limit, self.window, self.sleep, self.clock = limit, window_s, sleep, clock
-        self.calls: collections.deque = collections.deque()
+        self.window, self.sleep, self.clock = window_s, sleep, clock
+        floor = float("-inf") if not_before is None else not_before - window_s
+        self.admitted = None if limit is None else [floor] * limit
+        self.n = 0
 
     def acquire(self) -> None:
-        if self.limit is None:
+        if self.admitted is None:
             return
-        now = self.clock()
-        while self.calls and self.calls[0] <= now - self.window:
-            self.calls.popleft()
-        if len(self.calls) >= self.limit:
-            self.sleep(self.calls[0] + self.window - now)
-            now = self.clock()
-            self.calls.popleft()
-        self.calls.append(now)
+        slot = self.n % len(self.admitted)
+        now, due = self.clock(), self.admitted[slot] + self.window
+        if due > now:
+            self.sleep(due - now)
+        self.admitted[slot] = max(now, due)
+        self.n += 1
 
 
 def open_fs(root: str):
@@ -67,14 +76,22 @@ def open_fs(root: str):
     return pafs.LocalFileSystem(), root
 
 
-def _file_get(conf: dict, url: str):
-    fs, base = open_fs(conf["root"])
-    path = f"{base.rstrip('/')}/{request_key(url)}.json"
+def _file_get(conf: dict, url: str, attempt: int):
+    import pyarrow.fs as pafs
+
     try:
-        with fs.open_input_stream(path) as f:
-            doc = json.loads(f.read().decode("utf-8"))
-    except (FileNotFoundError, OSError):
-        return 404, None, json.dumps({"message": "not found"})
+        fs, base = open_fs(conf["root"])
+        try:
+            with fs.open_input_stream(f"{base.rstrip('/')}/{request_key(url)}.json") as f:
+                doc = json.loads(f.read().decode("utf-8"))
+        except FileNotFoundError:
+            if fs.get_file_info(base).type != pafs.FileType.Directory:
+                return None, None, f"no response store at {conf['root']}"
+            return 404, None, json.dumps({"message": "not found"})
+    except (OSError, ValueError) as e:
+        return None, None, f"unreadable response: {e}"
+    if "responses" in doc:
+        doc = doc["responses"][min(attempt, len(doc["responses"])) - 1]
     return int(doc.get("status", 200)), doc.get("retry_after"), doc.get("body")
 
 
@@ -86,53 +103,64 @@ def _http_get(conf: dict, url: str):
         with urllib.request.urlopen(req, timeout=float(conf.get("timeout_s", 30))) as r:
             return r.status, r.headers.get("Retry-After"), r.read().decode("utf-8")
     except urllib.error.HTTPError as e:
-        return e.code, e.headers.get("Retry-After"), e.read().decode("utf-8", "replace")
-    except (urllib.error.URLError, TimeoutError, OSError) as e:
-        return None, None, str(e)
+        try:
+            body = e.read().decode("utf-8", "replace")
+        except (http.client.HTTPException, OSError):
+            body = None
+        return e.code, e.headers.get("Retry-After"), body
+    except (urllib.error.URLError, http.client.HTTPException, OSError, UnicodeDecodeError) as e:
+        return None, None, str(e) or type(e).__name__
 
 
-def get(conf: dict, url: str):
+def get(conf: dict, url: str, attempt: int = 1):
+    """(status or None for no response, Retry-After, body or fault text)."""
     kind = conf.get("kind")
     if kind == "file":
-        return _file_get(conf, url)
+        return _file_get(conf, url, attempt)
     if kind == "http":
         return _http_get(conf, url)
     raise ValueError(f"unknown transport {kind!r}")
 
 
 def _after(header, default: int) -> int:
-    h = (header or "").strip() if isinstance(header, str) else header
-    if isinstance(h, int):
-        return h
-    return int(h) if h and h.isdigit() else default
+    """Whole seconds in ASCII digits, else the default."""
+    text = "" if header is None else str(header).strip()
+    return int(text) if re.fullmatch("[0-9]+", text) else default
 
 
-def fetch(conf: dict, url: str, limiter: Limiter, policy: str = "page", max_429: int = 10,
+def fetch(conf: dict, url: str, limiter: Limiter, policy: str = "page", max_429: int | None = None,
           sleep=time.sleep) -> dict:
     """One request with the retry loop -> landing fields."""
-    attempt, n429 = 0, 0
+    if policy not in ("page", "entity"):
+        raise ValueError(f"unknown retry policy {policy!r}")
+    attempts, failures, throttled = 0, 0, 0
     while True:
-        attempt += 1
+        attempts += 1
         limiter.acquire()
-        status, retry_after, body = get(conf, url)
+        status, retry_after, body = get(conf, url, attempts)
         if status is not None and 200 <= status < 300:
-            return dict(http_status=status, status="ok", attempts=attempt, error=None, payload=body)
+            return dict(http_status=status, status="ok", attempts=attempts, error=None, payload=body)
         if status == 429:
-            if policy == "entity" and attempt <= 1:
+            throttled += 1
+            if policy == "entity" and attempts == 1:
                 sleep(_after(retry_after, rp.ENTITY_429_DEFAULT_S))
                 continue
-            if policy == "page" and n429 < max_429:
-                n429 += 1
-                attempt -= 1  # waiting on 429 is not a failed try
+            if policy == "page" and (max_429 is None or throttled <= max_429):
                 sleep(_after(retry_after, rp.PAGE_429_DEFAULT_S))
                 continue
-        elif policy == "page" and (status is None or status >= 500) and attempt < rp.PAGE_ATTEMPTS:
-            sleep(min(rp.PAGE_INITIAL_S * 2 ** (attempt - 1), rp.PAGE_MAX_WAIT_S))
-            continue
-        msg = None
+        elif policy == "page" and (status is None or status >= 500):
+            failures += 1
+            if failures < rp.PAGE_ATTEMPTS:
+                sleep(min(rp.PAGE_INITIAL_S * 2 ** (failures - 1), rp.PAGE_MAX_WAIT_S))
+                continue
         try:
             msg = json.loads(body).get("message") if body else None
         except (ValueError, AttributeError):
             msg = None
         err = f"HTTP {status}: {msg or body}" if status is not None else f"Request failed: {body}"
-        return dict(http_status=status, status="failed", attempts=attempt, error=err, payload=None)
+        return dict(http_status=status, status="failed", attempts=attempts, error=err, payload=None)
+
+
+def may_drop(got: dict) -> bool:
+    """Failed requests that ``on_error='drop'`` may leave out: never those that were only throttled."""
+    return got["status"] != "ok" and got["http_status"] != 429
