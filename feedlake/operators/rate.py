@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedlake.functions.coerce import int_div
 from feedlake.operators.scan import prefix_scan
 
 DEFAULT_LIMIT = 10
@@ -71,23 +72,10 @@ def rate_admission(calls: DataFrame, key: str, t: str, call_id: str, limit: int
                         F.col(t).cast("bigint").alias("_t"), F.lit(1).cast("bigint").alias("_one"))
     numbered = prefix_scan(base, ["_key"], ["_t", "_id"], "_one", "sum", "_i1")
     i0 = F.col("_i1") - 1
-    q = F.floor(i0 / F.lit(limit)).cast("bigint")
+    q = int_div(i0, limit)
     staged = numbered.select("_key", "_id", "_t", i0.alias("_i"), q.alias("_q"), (i0 % F.lit(limit)).alias("_m"),
                              (F.col("_t") - q * F.lit(window_us)).alias("_shifted"))
     runmax = prefix_scan(staged, ["_key", "_m"], ["_i"], "_shifted", "max", "_best")
     admitted = F.col("_q") * F.lit(window_us) + F.col("_best")
     return runmax.select(F.col("_key").alias(key), F.col("_id").alias(call_id), F.col("_t").alias(t),
                          admitted.alias("admitted"), (admitted - F.col("_t")).alias("wait"))
-
-
-def sequential_admission(times: list[int], limit: int = DEFAULT_LIMIT, window_us: int = DEFAULT_WINDOW_US) -> list[int]:
-    """Plain loop of the limiter's rule, for tests on small inputs."""
-    out: list[int] = []
-    for i, ti in enumerate(sorted(times)):
-        a = ti
-        if out:
-            a = max(a, out[-1])
-        if i >= limit:
-            a = max(a, out[i - limit] + window_us)
-        out.append(a)
-    return out

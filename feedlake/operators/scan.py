@@ -4,18 +4,20 @@ A SQL window ``PARTITION BY key ORDER BY t`` puts every row of a key in one
 task, so a key holding a third of the data means one task holding a third of
 the data. This operator never groups by the key alone:
 
-  1. boundaries: a seeded sample of about 32 rows per bucket (its size is set
-     by the bucket count, not the data) gives ``n - 1`` boundary tuples of
-     (key, order); a balanced CASE tree turns each row's tuple into a bucket
-     id, a plain data column. A hot key spans many buckets.
-  2. ``repartitionByRange(bucket)`` + sort; per partition a vectorised running
-     op (NumPy over Arrow batches) gives the value within (bucket, key),
+  1. the input is written once to the shared scratch folder; everything below
+     reads that table, so the source is computed and read once.
+  2. boundaries: the ``32 * n`` rows with the smallest random number (a size
+     set by the bucket count, not the data) give ``n - 1`` boundary tuples of
+     (key, order); a binary search in that sorted array turns each row's tuple
+     into a bucket id, a plain data column. A hot key spans many buckets.
+  3. rows are hash-distributed by bucket and sorted; per partition a vectorised
+     running op (NumPy over Arrow batches) gives the value within (bucket, key),
      carrying state across batches.
-  3. per bucket: first key, last key and the last key's partial aggregate
+  4. per bucket: first key, last key and the last key's partial aggregate
      (map-side partial aggregation, one row per bucket) -> a window over that
      tiny table gives the carry each bucket's first key needs from earlier
      buckets.
-  4. the carry table (at most ``n`` rows, so its broadcast size is bounded by
+  5. the carry table (at most ``n`` rows, so its broadcast size is bounded by
      the bucket count, not the data) is joined back and combined.
 
 Buckets are data, not partition ids, so the two branches agree however the
@@ -30,15 +32,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PID = "_scan_pid"
+from feedlake.session import scratch_path
+
 LOCAL = "_scan_local"
 
 
 def _local_scan(keys: list[str], value: str, op: str):
     def run(batches):
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
         prev_key, prev_val = None, None
         for pdf in batches:
             if pdf.empty:
@@ -60,7 +60,6 @@ def _local_scan(keys: list[str], value: str, op: str):
             prev_key, prev_val = tuple(pdf[k].iat[n - 1] for k in keys), run_vals[-1]
             out = pdf.copy()
             out[LOCAL] = run_vals
-            out[PID] = pid
             yield out
 
     return run
@@ -72,34 +71,33 @@ SAMPLE_SEED = 20240601
 
 
 def _boundaries(df: DataFrame, cols: list[str], n: int) -> list[tuple]:
-    """Up to ``n - 1`` sorted boundary tuples from a seeded sample of ~32 rows per bucket."""
+    """Up to ``n - 1`` sorted boundary tuples from a seeded sample of 32 rows per bucket, taken in one pass."""
     if n <= 1:
         return []
-    total = df.count()
-    if total == 0:
-        return []
-    frac = min(1.0, SAMPLE_PER_BUCKET * n / total)
-    rows = [tuple(r) for r in df.select(*cols).sample(False, frac, SAMPLE_SEED).collect()]
-    rows.sort()
+    sample = df.select(*cols).orderBy(F.rand(SAMPLE_SEED)).limit(SAMPLE_PER_BUCKET * n).collect()
+    rows = sorted(tuple(r) for r in sample)
     if not rows:
         return []
     step = len(rows) / n
-    picked = sorted({rows[min(len(rows) - 1, int(step * i))] for i in range(1, n)})
-    return picked
+    return sorted({rows[min(len(rows) - 1, int(step * i))] for i in range(1, n)})
 
 
-def _bucket_expr(cols: list[str], bounds: list[tuple]):
-    """Number of boundaries <= the row's tuple, as a balanced CASE tree (log2(n) comparisons)."""
+def _bucket_expr(df: DataFrame, cols: list[str], bounds: list[tuple]):
+    """Number of boundaries <= the row's tuple: a binary search, so the expression does not grow with ``bounds``."""
+    if not bounds:
+        return F.lit(0)
     row = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
-    lits = [F.struct(*[F.lit(v).alias(f"c{i}") for i, v in enumerate(b)]) for b in bounds]
+    kinds = [df.schema[c].dataType for c in cols]
+    table = F.array(*[F.struct(*[F.lit(v).cast(t).alias(f"c{i}") for i, (v, t) in enumerate(zip(b, kinds))]) for b in bounds])
 
-    def tree(lo: int, hi: int):
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(row >= lits[mid - 1], tree(mid, hi)).otherwise(tree(lo, mid - 1))
+    def halve(at, _):
+        mid = F.shiftright(at["lo"] + at["hi"], 1)
+        passed = F.get(table, mid) <= row
+        return F.when(at["lo"] >= at["hi"], at).otherwise(F.struct(
+            F.when(passed, mid + 1).otherwise(at["lo"]).alias("lo"), F.when(passed, at["hi"]).otherwise(mid).alias("hi")))
 
-    return tree(0, len(bounds))
+    start = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
+    return F.aggregate(F.array_repeat(F.lit(0), len(bounds).bit_length() + 1), start, halve, lambda at: at["lo"])
 
 
 def _carry_table(bucketed: DataFrame, keys: list[str], value: str, op: str) -> DataFrame:
@@ -141,11 +139,13 @@ def prefix_scan(df: DataFrame, keys: list[str], order: list[str], value: str, op
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = keys + order
-    bucketed = df.withColumn(BKT, _bucket_expr(cols, _boundaries(df, cols, n)))
-    ranged = bucketed.repartitionByRange(n, BKT).sortWithinPartitions(BKT, *cols)
-    schema = T.StructType(list(bucketed.schema.fields) + [T.StructField(LOCAL, T.LongType(), False),
-                                                           T.StructField(PID, T.IntegerType(), False)])
-    local = ranged.mapInPandas(_local_scan([BKT] + keys, value, op), schema)
+    path = scratch_path(spark, "scan")
+    df.write.parquet(path)
+    df = spark.read.schema(df.schema).parquet(path)
+    bucketed = df.withColumn(BKT, _bucket_expr(df, cols, _boundaries(df, cols, n)))
+    dealt = bucketed.repartition(n, BKT).sortWithinPartitions(BKT, *cols)
+    schema = T.StructType(list(bucketed.schema.fields) + [T.StructField(LOCAL, T.LongType(), False)])
+    local = dealt.mapInPandas(_local_scan([BKT] + keys, value, op), schema)
     # At most ``n`` rows: the broadcast is bounded by the bucket count, not by the data.
     carry = F.broadcast(_carry_table(bucketed, keys, value, op))
     joined = local.join(carry, on=BKT, how="left")
@@ -153,4 +153,4 @@ def prefix_scan(df: DataFrame, keys: list[str], order: list[str], value: str, op
     hit = F.col("_carry").isNotNull() & (kstruct == F.col("_carry_key"))
     comb = (F.col(LOCAL) + F.col("_carry")) if op == "sum" else F.greatest(F.col(LOCAL), F.col("_carry"))
     return joined.withColumn(out, F.when(hit, comb).otherwise(F.col(LOCAL)).cast("bigint")).drop(
-        LOCAL, PID, BKT, "_carry", "_carry_key")
+        LOCAL, BKT, "_carry", "_carry_key")

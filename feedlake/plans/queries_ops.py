@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedlake.functions.coerce import int_div
 from feedlake.operators import rate
 from feedlake.plans.catalog import register
 from feedlake.session import read_table
@@ -49,7 +50,7 @@ SELECT event_type, event_id, t, CAST(admitted AS BIGINT) AS admitted, CAST(admit
 def q_rate_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R2: admission time of each event (time compressed 100x) under 10 calls / 60 s per type."""
     ev = read_table(spark, sf_dir, "events").select(
-        "event_type", "event_id", F.floor(_micros("ts") / 100).cast("bigint").alias("t"))
+        "event_type", "event_id", int_div(_micros("ts"), 100).alias("t"))
     return rate.rate_admission(ev, "event_type", "t", "event_id", limit=10, window_us=ADMIT_WINDOW_US)
 
 

@@ -15,12 +15,14 @@ by AQE's skew handling instead of landing in one task.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from feedlake.operators.metrics import observed
 
-DEFAULT_BATCH = 10_000
+DEFAULT_BATCH = 0  # rows per file; 0 leaves the file size to the partitioning
 FORMATS = ("parquet", "csv")
 # The client's CSV dialect as Spark options (header row, RFC quoting,
 # NULL and '' both written as an empty field, no trimming).
@@ -58,7 +60,8 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], schem
 
     ``append`` adds files, so writing the same rows twice doubles them, as the
     client does. ``upsert`` replaces only the partitions present in ``df``
-    (dynamic partition overwrite), so a re-run is idempotent.
+    (dynamic partition overwrite), so a re-run is idempotent; a partition is
+    replaced as a whole, so ``df`` must hold all rows of each partition it touches.
     Empty input writes no data files and returns 0.
     """
     if mode not in ("append", "upsert"):
@@ -80,17 +83,38 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], schem
     return _count(out, write, "write_partitioned")
 
 
+def _publish(spark: SparkSession, staged: str, path: str, rows: int, fail_if_empty: bool) -> None:
+    """Move a written staging folder to ``path`` (replacing it), or drop it and raise if it holds no rows.
+
+    The rows were counted by the write itself, so an empty input never replaces earlier output.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    source, target = hadoop.Path(staged), hadoop.Path(path)
+    fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    if rows == 0 and fail_if_empty:
+        fs.delete(source, True)
+        raise SinkError("no records to write")
+    fs.delete(target, True)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(source, target):
+        raise SinkError(f"could not move {staged} to {path}")
+
+
+def _staging(path: str) -> str:
+    return f"{path.rstrip('/')}.staging-{uuid.uuid4().hex[:12]}"
+
+
 def write_single(df: DataFrame, path: str, schema: T.StructType | None = None, batch_size: int = DEFAULT_BATCH,
                  fail_if_empty: bool = True) -> int:
-    """One Parquet dataset with the fixed schema (K3); empty input raises, as the client does."""
-    out = _fixed(df, schema)
-    if fail_if_empty and out.isEmpty():
-        raise SinkError("no records to write")
+    """One Parquet dataset with the fixed schema (K3), replaced as a whole; empty input raises, as the client does."""
+    staged = _staging(path)
 
     def write(d: DataFrame) -> None:
-        d.write.mode("overwrite").option("maxRecordsPerFile", max(batch_size, 0)).parquet(path)
+        d.write.option("maxRecordsPerFile", max(batch_size, 0)).parquet(staged)
 
-    return _count(out, write, "write_single")
+    rows = _count(_fixed(df, schema), write, "write_single")
+    _publish(df.sparkSession, staged, path, rows, fail_if_empty)
+    return rows
 
 
 def write_csv(df: DataFrame, path: str, schema: T.StructType | None = None, fail_if_empty: bool = True,
@@ -102,17 +126,18 @@ def write_csv(df: DataFrame, path: str, schema: T.StructType | None = None, fail
     with CRLF like the client, but Spark then also rewrites newlines inside
     values, so it is off by default.
     """
-    out = _fixed(df, schema)
-    if fail_if_empty and out.isEmpty():
-        raise SinkError("no records to write")
+    target = f"{path.rstrip('/')}/data.csv"
+    staged = _staging(target)
 
     def write(d: DataFrame) -> None:
-        w = d.write.mode("overwrite").options(**CSV_OPTIONS)
+        w = d.write.options(**CSV_OPTIONS)
         if crlf:
             w = w.option("lineSep", "\r\n")
-        w.csv(f"{path.rstrip('/')}/data.csv")
+        w.csv(staged)
 
-    return _count(out, write, "write_csv")
+    rows = _count(_fixed(df, schema), write, "write_csv")
+    _publish(df.sparkSession, staged, target, rows, fail_if_empty)
+    return rows
 
 
 def write_records(df: DataFrame, path: str, fmt: str, partition_cols: list[str] | None = None,

@@ -2,10 +2,23 @@ import random
 
 from pyspark.sql import functions as F
 
-from feedlake.operators.rate import rate_admission, rate_audit, sequential_admission
+from feedlake.operators.rate import DEFAULT_LIMIT, DEFAULT_WINDOW_US, rate_admission, rate_audit
 from feedlake.sources.transport import Limiter
 
 
+def sequential_admission(times: list[int], limit: int = DEFAULT_LIMIT, window_us: int = DEFAULT_WINDOW_US) -> list[int]:
+    """Plain loop of the limiter's rule, for tests on small inputs."""
+    out: list[int] = []
+    for i, ti in enumerate(sorted(times)):
+        a = ti
+        if out:
+            a = max(a, out[-1])
+        if i >= limit:
+            a = max(a, out[i - limit] + window_us)
+        out.append(a)
+    return out
+
+
 def test_admission_matches_sequential_loop_with_hot_key(spark):
     random.seed(3)
     rows, by_key = [], {}
@@ -42,3 +55,32 @@ def test_limiter_waits_for_oldest_call_to_leave():
     for _ in range(3):
         lim.acquire()
     assert slept == [60.0]
+
+
+def test_scan_reads_its_source_once(spark):
+    """Whatever the buckets, the source is read by one write; both branches read that table."""
+    from feedlake.operators.scan import prefix_scan
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def touch(batches):
+        for pdf in batches:
+            seen.add(len(pdf))
+            yield pdf
+
+    rows = spark.range(1000).selectExpr("id % 3 AS k", "id AS t", "CAST(1 AS BIGINT) AS one")
+    rows = rows.mapInPandas(touch, rows.schema)
+    out = prefix_scan(rows, ["k"], ["t"], "one", "sum", "n", num_partitions=16)
+    assert {r.n for r in out.where("k = 0").collect()} == set(range(1, 335))
+    assert seen.value == 1000
+
+
+def test_bucket_expression_does_not_grow(spark):
+    from feedlake.operators.scan import _bucket_expr
+
+    df = spark.range(5000).selectExpr("CAST(id % 7 AS INT) AS k", "id AS t")
+    bounds = [(k, t) for k in range(7) for t in range(0, 5000, 50)]
+    got = df.withColumn("b", _bucket_expr(df, ["k", "t"], bounds)).collect()
+    import bisect
+
+    assert all(r.b == bisect.bisect_right(bounds, (r.k, r.t)) for r in got)

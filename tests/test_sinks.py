@@ -48,3 +48,34 @@ def test_partition_filter_reaches_scan(spark):
     plan = writers.read_partitioned(spark, path, SCORER).where(F.col("competition_code") == "PL")._jdf \
         .queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(competition_code" in plan
+
+
+def test_empty_input_keeps_earlier_output(spark):
+    for write, read, tag in ((writers.write_single, lambda p: spark.read.parquet(p), "t-keep"),
+                             (writers.write_csv, lambda p: writers.read_csv(spark, p, SCORER), "t-keep-csv")):
+        path = scratch_path(spark, tag)
+        assert write(_rows(spark), path, SCORER) == len(NAMES)
+        with pytest.raises(writers.SinkError):
+            write(spark.createDataFrame([], SCORER), path, SCORER)
+        assert read(path).count() == len(NAMES)
+        assert write(_rows(spark).limit(2), path, SCORER) == 2 and read(path).count() == 2
+
+
+def test_single_write_reads_its_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def touch(batches):
+        for pdf in batches:
+            seen.add(len(pdf))
+            yield pdf
+
+    rows = _rows(spark).coalesce(1).mapInPandas(touch, SCORER)
+    writers.write_single(rows, scratch_path(spark, "t-once"), SCORER)
+    assert seen.value == len(NAMES)
+
+
+def test_files_within_batch(spark):
+    path = scratch_path(spark, "t-batch")
+    writers.write_partitioned(_rows(spark).coalesce(1), path, [], SCORER, batch_size=3)
+    sizes = [r["count"] for r in spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()]
+    assert sorted(sizes) == [1, 3, 3]
