@@ -20,7 +20,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
     out = both.filter(F.col("v") > F.col("u")).join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return out.filter(F.col("u") != F.col("v")).distinct()
+    return out.filter(F.col("u") != F.col("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -37,9 +37,10 @@ def components(links: DataFrame) -> DataFrame:
                     "cc-links")
     for i in range(MAX_ROUNDS):
         edges = written(_small_star(_large_star(edges)), "cc-round")
-        # done when every node has one link and every link ends in a node without an own one
-        state = edges.agg(F.count("*").alias("n"), F.count_distinct("u").alias("nodes")).first()
-        if state.n == state.nodes and edges.select(F.col("v").alias("u")).join(edges.select("u"), "u", "left_semi").isEmpty():
+        # done when no node has two links and no link ends in a node that has one
+        open_ = edges.groupBy("u").agg(F.count("*").alias("n")).filter("n > 1").select("u").unionByName(
+            edges.select(F.col("v").alias("u")).join(edges.select("u"), "u", "left_semi"))
+        if open_.isEmpty():
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
                 edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
     raise RuntimeError("components did not settle")
