@@ -3,20 +3,22 @@
 import pytest
 
 import __spark_entry__ as se
+from feedlake.plans import catalog
 from oracle_check import duck, rows_of
 
-NAMES = sorted(se.oracle_sql())
+NAMES = sorted(catalog.oracle_sql())
 
 
 def test_every_query_has_an_oracle():
-    assert set(se.queries()) == set(se.oracle_sql())
+    assert set(catalog.queries()) == set(catalog.oracle_sql())
+    assert set(catalog.queries()) <= set(se.queries()) and set(se.oracle_sql()) <= set(se.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, sf, name):
-    df = se.queries()[name](spark, sf)
+    df = catalog.queries()[name](spark, sf)
     got = rows_of(df.columns, [tuple(r) for r in df.collect()])
-    res = duck(sf).execute(se.oracle_sql()[name])
+    res = duck(sf).execute(catalog.oracle_sql()[name])
     cols = [d[0] for d in res.description]
     want = rows_of(cols, res.fetchall())
     assert sorted(df.columns) == sorted(cols)
