@@ -48,6 +48,14 @@ def small_arrow_batches(spark, rows: int = 1000, size: str = "8m") -> None:
             spark.conf.set(key, str(rows) if most == rows else size)
 
 
-def bounded_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only if the (written, hence cheaply counted) table is small."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def bounded_broadcast(df: DataFrame, weight: Column | None = None, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast only if the (written, hence cheaply read) table is small.
+
+    Tables of narrow rows are counted; for rows with arrays, ``weight`` is the number of elements of a row and
+    the elements are summed, so the bound holds for the bytes sent either way.
+    """
+    if weight is None:
+        small = df.limit(rows + 1).count() <= rows
+    else:
+        small = (df.agg(F.sum(weight + 1).alias("n")).first().n or 0) <= rows
+    return F.broadcast(df) if small else df

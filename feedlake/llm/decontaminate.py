@@ -82,9 +82,9 @@ def _item_prints(items: DataFrame, lengths: list[int], span: int, gram: int) ->
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, row key (id and text together) and words."""
+    """doc_id, row key (id and text together) and text."""
     text = text_of()
-    return docs.select("doc_id", F.xxhash64(F.col("doc_id").cast("string"), text).alias("row"), words_of(text).alias("words"))
+    return docs.select("doc_id", F.xxhash64(F.col("doc_id").cast("string"), text).alias("row"), text.alias("text"))
 
 
 def _same_row(a: DataFrame, b: DataFrame, how: str) -> DataFrame:
@@ -98,7 +98,8 @@ def _hits(docs: DataFrame, benchmark: DataFrame, span: int, gram: int) -> tuple[
     """(all rows: doc_id, row, n_words), (rows with matches: doc_id, row, ids, positions)."""
     items = _items(benchmark, span)
     lengths = sorted(r.span for r in items.select("span").distinct().collect())  # at most ``span`` values
-    base = _keyed(docs)
+    texts = _keyed(docs)
+    base = texts.select("doc_id", "row", words_of(F.col("text")).alias("words"))
     if not lengths:
         none = base.select("doc_id", "row", F.array().cast("array<string>").alias("ids"),
                            F.array().cast("array<int>").alias("positions")).limit(0)
@@ -117,7 +118,9 @@ def _hits(docs: DataFrame, benchmark: DataFrame, span: int, gram: int) -> tuple[
     found = written(scan.filter(F.col("fp").isNotNull()).groupBy("doc_id", "row").agg(
         F.collect_set(F.struct("fp", "item", "at", "n")).alias("hits")), "bench-found")
 
-    again = _same_row(base, bounded_broadcast(found), "inner")
+    # few ids are broadcast so that only their texts are split again and shuffled; the hits never are broadcast
+    again = _same_row(texts, bounded_broadcast(found.select("doc_id", "row")), "left_semi")
+    again = _same_row(again, found, "inner").select("doc_id", "row", "hits", words_of(F.col("text")).alias("words"))
     shifts = []
     for k, _ in kinds:
         again = again.withColumn(f"g{k}", _grams("words", k)).withColumn(f"fp{k}", F.array_distinct(F.col("hits.fp")))
@@ -133,7 +136,7 @@ def _hits(docs: DataFrame, benchmark: DataFrame, span: int, gram: int) -> tuple[
         s["item"].alias("item"), s["shift"].alias("shift"),
         F.transform(_steps(s["n"] - 1), lambda j: F.when(s["shift"] + j >= 0, F.when(s["shift"] + j < F.size(w), F.get(w, s["shift"] + j)))
                     ).alias("beside")))).alias("s")).select("doc_id", "row", "s.*")
-    lined = lined.join(bounded_broadcast(items.withColumnRenamed("words", "item_words")), "item")
+    lined = lined.join(bounded_broadcast(items.withColumnRenamed("words", "item_words"), F.col("n")), "item")
     beside, own = F.col("beside"), F.col("item_words")
     lined = lined.withColumn("same", F.transform(_steps(F.col("n") - 1), lambda j: F.coalesce(
         F.get(beside, j) == F.get(own, j), F.lit(False))))

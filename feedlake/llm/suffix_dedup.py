@@ -167,7 +167,9 @@ def find(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     places = (_shared(suffixes, "h1").select("h1", "at").distinct().join(classes.select("h1", "node"), "h1")
               .groupBy("node").agg(F.collect_set("at").alias("places")))
     places = written(places, "suffix-places")
-    again = texts.withColumnRenamed("doc_id", "node").join(bounded_broadcast(places), "node")
+    # few ids are broadcast so that only their texts are shuffled; the positions never are broadcast
+    again = texts.withColumnRenamed("doc_id", "node").join(bounded_broadcast(places.select("node")), "node", "left_semi")
+    again = again.join(places, "node")
     windows = written(again.mapInArrow(_window_batches(min_words), f"key bigint, node {kind}, at int"), "suffix-windows")
     repeated = _shared(windows, "node").groupBy("node").agg(
         F.collect_set("at").alias("all"), F.collect_set(F.when(F.col("node") != F.col("first"), F.col("at"))).alias("later"))
