@@ -14,7 +14,11 @@ Two sets that differ in at most H elements agree on 1 + g segments or more. If o
 is not empty, they share the signature of that subset. Else both have more
 than g empty segments: only such sets (rare, by the choice of g) index empty segments too.
 
-One-deletion neighbourhoods, by cost. A bucket of k sets costs about k / 2 comparisons
+Allocation, by cost. A set with e <= g empty segments shares at least 1 + g - e other subsets with any similar
+set, so it may skip g - e of its own: it skips those with the largest buckets (ties by signature; the
+order is the same for all sets, so the rarest subset of a similar pair is skipped by neither).
+
+One-deletion neighbourhoods, by cost too. A bucket of k sets costs about k / 2 comparisons
 for each set (``COMPARISON_COST`` each). Where that is more than indexing the sets' deletion
 neighbourhoods (set size + segments rows), the bucket is dropped and its sets are indexed again under
 ceil((H + 1) / 2) larger segments, by each subset and each subset less one element:
@@ -132,17 +136,18 @@ def _segment_sums(s: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray, np.nda
     return seg, value, sums
 
 
-def exact_signatures(s: np.ndarray, percent: int) -> np.ndarray:
-    """Signatures of the subsets of one set under its schemes."""
-    parts = []
+def exact_signatures(s: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(signatures of the subsets of one set, each one's scheme, how many of that scheme the set may skip)."""
+    parts: list[tuple] = [(np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32))]
     for scheme in own_schemes(len(s), percent):
         seg, _, sums = _segment_sums(s, scheme.exact)
         kept = np.bincount(seg, minlength=scheme.exact) > 0
-        if scheme.exact - kept.sum() > scheme.spare:
-            kept[:] = True
+        skip = scheme.spare - (scheme.exact - int(kept.sum()))
+        if skip < 0:
+            kept[:], skip = True, 0
         at = np.flatnonzero(kept)
-        parts.append(mix(sums[at] ^ _tag(scheme, at)))
-    return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+        parts.append((mix(sums[at] ^ _tag(scheme, at)), np.full(len(at), scheme.number, np.int32), np.full(len(at), skip, np.int32)))
+    return tuple(np.concatenate(x) for x in zip(*parts))
 
 
 def deletion_signatures(s: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -196,21 +201,22 @@ def _index_batches(k: int):
 
 
 def _signature_batches(k: int, percent: int):
-    """(sig, h1) rows; equal sets are indexed once a task, so a hot copy stays a few rows."""
+    """(sig, h1, scheme, skip) rows; equal sets are indexed once a task, so a hot copy stays a few rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                sigs, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+                parts: list[tuple] = []
                 for s in shingle_sets(part.column("text").cast(pa.binary()).to_pylist(), k):
                     h = _digest(s)
                     if len(s) and h not in seen:
                         seen.add(h)
-                        sigs.append(exact_signatures(s, percent))
-                        owners.append(np.full(len(sigs[-1]), h[0], np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(_longs(np.concatenate(sigs))), pa.array(np.concatenate(owners))],
-                                                 ["sig", "h1"])
+                        sig, scheme, skip = exact_signatures(s, percent)
+                        parts.append((_longs(sig), np.full(len(sig), h[0], np.int64), scheme, skip))
+                if parts:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts)],
+                                                     ["sig", "h1", "scheme", "skip"])
 
     return run
 
@@ -286,10 +292,14 @@ def link_classes(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, Data
     # buckets of two sets or more; h1 routes, the class table tells classes apart
     w = Window.partitionBy("sig")
     shared = (texts.filter(F.col("doc_id").isNotNull()).select("text")
-              .mapInArrow(_signature_batches(k, percent), "sig bigint, h1 bigint")
+              .mapInArrow(_signature_batches(k, percent), "sig bigint, h1 bigint, scheme int, skip int")
               .withColumn("lo", F.min("h1").over(w)).withColumn("hi", F.max("h1").over(w)).filter("lo < hi")
-              .select("sig", "h1").distinct())
-    shared = written(shared, "similar-shared")
+              .groupBy("sig", "h1").agg(F.first("scheme").alias("scheme"), F.first("skip").alias("skip"))
+              .withColumn("k", F.count("*").over(w)))
+    # every set skips its costliest subsets, as many as its spare segments allow
+    rank = Window.partitionBy("h1", "scheme").orderBy(F.col("k").desc(), F.col("sig"))
+    shared = written(shared.filter("k > 1").withColumn("rank", F.row_number().over(rank)).filter("rank > skip").select("sig", "h1"),
+                     "similar-shared")
     sketches = index.filter(F.col("sketch").isNotNull()).join(
         shared.select("h1").distinct(), "h1", "left_semi").groupBy("h1", "h2").agg(F.first("sketch").alias("sketch"))
     nodes = written(classes.join(sketches, ["h1", "h2"]).select("h1", "h2", "node", "n", "sketch"), "similar-nodes")

@@ -9,7 +9,7 @@ most SPREAD - 1 words after its start; the suffixes agree on
 
 1. Sort and compare: suffixes are brought together by the hash of that many
    leading words; a suffix whose neighbours are all of its own document drops
-   out. (One aggregation with partial minima and maxima, then a join, so a
+   out. A document that repeats one passage many times holds its key once. (One aggregation with partial minima and maxima, then a join, so a
    passage in very many documents is neither gathered nor paired.)
 2. Extend left and right: around each suffix left, the windows of MIN_WORDS
    words that have it as their minimiser are compared in the same way. A
@@ -67,7 +67,7 @@ def _minimisers(h: np.ndarray, owner: np.ndarray, words: int) -> tuple[np.ndarra
 
 
 def _suffix_batches(words: int):
-    """(key, h1, at) of the sparse suffixes; equal texts are indexed once a task."""
+    """Distinct (key, h1) of the sparse suffixes; equal texts are indexed once a task."""
     lead = words - SPREAD + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,10 +86,12 @@ def _suffix_batches(words: int):
                 starts, low = _minimisers(h, owner, words)
                 at = np.unique(low[new[owner[starts]]]) if len(starts) else starts
                 if len(at):
-                    key = long_window_hashes(h, lead)[at]
-                    node = np.array([d[0] for d in ids], np.int64)[owner[at]]
-                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(node),
-                                                      pa.array((at - bounds[owner[at]]).astype(np.int32))], ["key", "h1", "at"])
+                    key, text = long_window_hashes(h, lead)[at], owner[at]
+                    order = np.lexsort((key, text))  # a passage that fills a text has one key many times
+                    key, text = key[order], text[order]
+                    first = np.concatenate(([True], (key[1:] != key[:-1]) | (text[1:] != text[:-1])))
+                    node = np.array([d[0] for d in ids], np.int64)[text[first]]
+                    yield pa.RecordBatch.from_arrays([pa.array(key[first].view(np.int64)), pa.array(node)], ["key", "h1"])
 
     return run
 
@@ -108,18 +110,29 @@ def _class_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _window_batches(words: int):
-    """(key, node, at) of the windows whose minimiser is one of the row's suffix positions."""
+    """(key, node, at, more) of the windows whose minimiser starts one of the row's suffixes.
+
+    A key stands once for a document: ``more`` holds its further places, and is null for nearly all.
+    """
+    lead = words - SPREAD + 1
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             kind = batch.schema.field("node").type
-            for i, (text, node, places) in enumerate(zip(texts, batch.column("node").to_pylist(), batch.column("places").to_pylist())):
+            for text, node, keys in zip(texts, batch.column("node").to_pylist(), batch.column("keys").to_pylist()):
                 h, owner = word_hashes([text])
                 starts, low = _minimisers(h, owner, words)
-                at = starts[np.isin(low, np.array(places))]
+                at = starts[np.isin(long_window_hashes(h, lead)[low].view(np.int64), np.array(keys, np.int64))]
                 key = long_window_hashes(h, words)[at]
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array([node] * len(at), kind),
-                                                  pa.array(at.astype(np.int32))], ["key", "node", "at"])
+                order = np.argsort(key, kind="stable")
+                key, at = key[order], at[order].astype(np.int32)
+                cut = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else at
+                ends = np.append(cut[1:], len(key)) if len(key) else at
+                more = [at[a + 1:b] if b - a > 1 else None for a, b in zip(cut.tolist(), ends.tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key[cut].view(np.int64)), pa.array([node] * len(cut), kind), pa.array(at[cut]),
+                     pa.array(more, pa.list_(pa.int32()))], ["key", "node", "at", "more"])
 
     return run
 
@@ -163,16 +176,19 @@ def find(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     classes = written(rows.groupBy("h1", "h2").agg(
         F.min("doc_id").alias("node"), F.max("doc_id").alias("last"), F.first("n_words").alias("n_words")), "suffix-classes")
 
-    suffixes = written(texts.select("text").mapInArrow(_suffix_batches(min_words), "key bigint, h1 bigint, at int"), "suffix-sorted")
-    places = (_shared(suffixes, "h1").select("h1", "at").distinct().join(classes.select("h1", "node"), "h1")
-              .groupBy("node").agg(F.collect_set("at").alias("places")))
-    places = written(places, "suffix-places")
-    # few ids are broadcast so that only their texts are shuffled; the positions never are broadcast
-    again = texts.withColumnRenamed("doc_id", "node").join(bounded_broadcast(places.select("node")), "node", "left_semi")
-    again = again.join(places, "node")
-    windows = written(again.mapInArrow(_window_batches(min_words), f"key bigint, node {kind}, at int"), "suffix-windows")
-    repeated = _shared(windows, "node").groupBy("node").agg(
-        F.collect_set("at").alias("all"), F.collect_set(F.when(F.col("node") != F.col("first"), F.col("at"))).alias("later"))
+    suffixes = written(texts.select("text").mapInArrow(_suffix_batches(min_words), "key bigint, h1 bigint"), "suffix-sorted")
+    keys = (_shared(suffixes, "h1").select("h1", "key").join(classes.select("h1", "node"), "h1")
+            .groupBy("node").agg(F.collect_set("key").alias("keys")))
+    keys = written(keys, "suffix-keys")
+    # few ids are broadcast so that only their texts are shuffled; the keys never are broadcast
+    again = texts.withColumnRenamed("doc_id", "node").join(bounded_broadcast(keys.select("node")), "node", "left_semi")
+    again = again.join(keys, "node")
+    windows = written(again.mapInArrow(_window_batches(min_words), f"key bigint, node {kind}, at int, more array<int>"), "suffix-windows")
+    places = F.concat(F.array("at"), F.coalesce("more", F.array().cast("array<int>")))
+    repeated = _shared(windows, "node").withColumn("places", F.when(F.col("more").isNull(), F.array("at")).otherwise(places))
+    repeated = repeated.groupBy("node").agg(
+        F.flatten(F.collect_list("places")).alias("all"),
+        F.flatten(F.collect_list(F.when(F.col("node") != F.col("first"), F.col("places")))).alias("later"))
     span = "array<struct<start:int,end:int>>"
     found = written(repeated.mapInArrow(_span_batches(min_words), f"node {kind}, spans {span}, cut {span}"), "suffix-spans")
 
