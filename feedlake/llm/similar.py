@@ -29,7 +29,7 @@ Components. Only connected components are asked for, so pairs already
 connected are not compared: a star round links every member of a bucket to
 one leader (another one in each bucket), then the remaining pairs across components are joined. All
 candidates pass a size test and a 512-bit parity sketch (its differing bits
-never exceed the differing elements) inside the join, and are verified
+never exceed the differing elements) inside the join, then a 4096-bit one, and are verified
 on the shingle sets.
 
 Equal sets form a class, represented by its smallest doc_id; only classes are indexed
@@ -61,7 +61,7 @@ STAR_ROUNDS = 1
 #: made, shuffled and sorted (about 4 microseconds).
 COMPARISON_COST = 1 / 16
 RARE = 1e-3
-SKETCH_BITS = 512
+SKETCH_BITS, WIDE_BITS = 512, 4096
 
 
 @dataclass(frozen=True)
@@ -162,10 +162,10 @@ def deletion_signatures(s: np.ndarray, percent: int) -> tuple[np.ndarray, np.nda
     return (np.concatenate(whole), np.concatenate(less)) if whole else (none, none)
 
 
-def sketch(s: np.ndarray) -> np.ndarray:
-    """Parities of the elements over SKETCH_BITS cells, as eight 64-bit numbers."""
-    cell = (mix(s ^ np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(32)) % np.uint64(SKETCH_BITS)
-    odd = np.bincount(cell.astype(np.int64), minlength=SKETCH_BITS) & 1
+def sketch(s: np.ndarray, bits: int = SKETCH_BITS) -> np.ndarray:
+    """Parities of the elements over ``bits`` cells, as 64-bit numbers."""
+    cell = (mix(s ^ np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(32)) % np.uint64(bits)
+    odd = np.bincount(cell.astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view("<i8")
 
 
@@ -185,17 +185,19 @@ def _index_batches(k: int):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                rows: list[list] = [[], [], [], []]
+                rows: list[list] = [[], [], [], [], []]
                 for s in shingle_sets(part.column("text").cast(pa.binary()).to_pylist(), k):
                     h = _digest(s) if len(s) else (0, 0)
                     rows[0].append(len(s))
                     rows[1].append(h[0])
                     rows[2].append(h[1])
-                    rows[3].append(sketch(s) if len(s) and h not in seen else None)
+                    new = len(s) > 0 and h not in seen
+                    rows[3].append(sketch(s) if new else None)
+                    rows[4].append(sketch(s, WIDE_BITS) if new else None)
                     seen.add(h)
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *[pa.array(r, t) for r, t in zip(rows, kinds)]],
-                                                 ["doc_id", "n", "h1", "h2", "sketch"])
+                                                 ["doc_id", "n", "h1", "h2", "sketch", "wide"])
 
     return run
 
@@ -284,7 +286,7 @@ def link_classes(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, Data
     kind = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", text_of().alias("text"))
     index = written(texts.mapInArrow(
-        _index_batches(k), f"doc_id {kind}, n bigint, h1 bigint, h2 bigint, sketch array<bigint>"), "similar-index")
+        _index_batches(k), f"doc_id {kind}, n bigint, h1 bigint, h2 bigint, sketch array<bigint>, wide array<bigint>"), "similar-index")
     rows = index.select("doc_id", "n", "h1", "h2")
     classes = written(index.filter("n > 0 and doc_id is not null").groupBy("h1", "h2").agg(
         F.min("doc_id").alias("node"), F.first("n").alias("n")), "similar-classes")
@@ -301,8 +303,9 @@ def link_classes(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, Data
     shared = written(shared.filter("k > 1").withColumn("rank", F.row_number().over(rank)).filter("rank > skip").select("sig", "h1"),
                      "similar-shared")
     sketches = index.filter(F.col("sketch").isNotNull()).join(
-        shared.select("h1").distinct(), "h1", "left_semi").groupBy("h1", "h2").agg(F.first("sketch").alias("sketch"))
-    nodes = written(classes.join(sketches, ["h1", "h2"]).select("h1", "h2", "node", "n", "sketch"), "similar-nodes")
+        shared.select("h1").distinct(), "h1", "left_semi").groupBy("h1", "h2").agg(
+            F.first("sketch").alias("sketch"), F.first("wide").alias("wide"))
+    nodes = written(classes.join(sketches, ["h1", "h2"]).select("h1", "h2", "node", "n", "sketch", "wide"), "similar-nodes")
     found = shared.join(nodes.select("h1", "node", "n", "sketch"), "h1").drop("h1")
     found = found.withColumn("k", F.count("*").over(w)).withColumn("mean", F.avg("n").over(w))
     costly = (F.col("k") - 1) * COMPARISON_COST > 2 * (F.col("mean") + F.col("mean") * (100 - percent) / (100 + percent))
@@ -320,7 +323,7 @@ def link_classes(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, Data
         star = live.filter(F.col("comp") != F.col("lead.comp")).withColumn("me", F.struct("n", "sketch")).filter(
             _close(percent, "me", "lead"))
         pairs = star.select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")).distinct()
-        links, comp = _grow(links, pairs, sets, percent)
+        links, comp = _grow(links, pairs, nodes, sets, percent)
 
     side = ["sig", "node", "n", "sketch", "comp"]
     rest = written(_mixed(_with_component(found, comp)).select(*side, "c0", "costly"), "similar-rest")
@@ -332,7 +335,7 @@ def link_classes(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, Data
     second = _with_component(second.join(nodes.select("node", "n", "sketch"), "node"), comp)
     second = written(_mixed(second).select(*side, "whole"), "similar-deletion")
     pairs = pairs.unionByName(_across(second.filter("whole").select(*side), second.select(*side), percent)).distinct()
-    links, comp = _grow(links, pairs, sets, percent)
+    links, comp = _grow(links, pairs, nodes, sets, percent)
     return rows, nodes.join(comp, "node").select("node", "h1", "h2", "component")
 
 
@@ -343,9 +346,20 @@ def _across(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
     return joined.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
-def _grow(links: DataFrame | None, pairs: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+def _wide_close(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs that the wide sketches cannot rule out either (the narrow ones saturate for long texts)."""
+    a = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("wide").alias("wa"))
+    b = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("wide").alias("wb"))
+    bits = F.aggregate(F.zip_with("wa", "wb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    total = F.col("na") + F.col("nb")
+    return pairs.join(a, "a").join(b, "b").filter(
+        bits <= total - 2 * F.ceil(percent * total / F.lit(100 + percent))).select("a", "b")
+
+
+def _grow(links: DataFrame | None, pairs: DataFrame, nodes: DataFrame, sets: DataFrame,
+          percent: int) -> tuple[DataFrame, DataFrame]:
     """Verify pairs, add them to the links, and find the components again."""
-    new = written(_verified(written(pairs, "similar-pairs"), sets, percent), "similar-links")
+    new = written(_verified(written(_wide_close(pairs, nodes, percent), "similar-pairs"), sets, percent), "similar-links")
     links = new if links is None else links.unionByName(new)
     return links, written(components(links), "similar-components")
 
