@@ -5,7 +5,8 @@ characters. For items of at least ``SPAN`` words, both sides keep the minimum
 hash of ``GRAM``-word grams in every window of SPAN - GRAM + 1 grams. A span of
 SPAN shared words has the same window on both sides, so it always shares a
 fingerprint. Each shorter item is one span of its own length; those lengths
-(at most SPAN - 1 of them) use every gram of that length.
+(at most SPAN - 1 of them) use every gram of that length. With items of GRAM
+words, documents keep all their GRAM-word grams, the minima among them.
 
 1. One pass over the documents: fingerprints are exploded and joined with the
    benchmark's (broadcast if they are few, else by shuffle). Only hits leave.
@@ -62,6 +63,11 @@ def _kinds(lengths: list[int], span: int, gram: int) -> list[tuple[int, int]]:
     return [(gram, span - gram + 1) if n == span else (n, 1) for n in lengths]
 
 
+def _doc_kinds(kinds: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """One kind per gram length with its smallest window: all grams of a length hold the minima of any window."""
+    return [(k, min(w for j, w in kinds if j == k)) for k in sorted({k for k, _ in kinds})]
+
+
 def _items(benchmark: DataFrame, span: int) -> DataFrame:
     """One row per distinct item text: item, ids, words, n, span (the window length)."""
     rows = benchmark.select(F.col("item_id").cast("string").alias("id"), words_of(text_of()).alias("words"))
@@ -104,7 +110,7 @@ def _hits(docs: DataFrame, benchmark: DataFrame, span: int, gram: int) -> tuple[
         none = base.select("doc_id", "row", F.array().cast("array<string>").alias("ids"),
                            F.array().cast("array<int>").alias("positions")).limit(0)
         return base.select("doc_id", "row", F.size("words").cast("bigint").alias("n_words")), none
-    kinds = _kinds(lengths, span, gram)
+    kinds = _doc_kinds(_kinds(lengths, span, gram))
     prints = _item_prints(items, lengths, span, gram)
 
     scan = base

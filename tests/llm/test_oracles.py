@@ -53,6 +53,30 @@ def test_odd_benchmark(spark, odd, odd_duck):
     assert sum(r[df.columns.index("contaminated")] for r in map(tuple, df.collect())) >= 5
 
 
+@pytest.mark.parametrize("lengths", [range(1, 12), (6, 25), (6, 10, 11), (1, 6, 9)])
+def test_items_of_every_length(spark, lengths):
+    """Short items beside long ones: each length keeps all its hits, also the one that equals the gram length."""
+    import duckdb
+
+    def words(tag, n):
+        return " ".join(f"{tag}w{j}" for j in range(n))
+
+    items = [(100 * n + i, words(f"i{n}x{i}", n)) for n in lengths for i in range(12)]
+    docs = [(i, f"{words(f'a{i}', i % 7)} {t} {words(f'b{i}', 30)}") for i, (_, t) in enumerate(items)]
+    docs += [(1000 + i, f"{words('c', 20)} {t.rsplit(' ', 1)[0]} {words('d', 20)} {t}") for i, (_, t) in enumerate(items)]
+    docs += [(5000, words("e", 40)), (5001, "")]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", docs)
+    con.execute("CREATE TABLE benchmark (item_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO benchmark VALUES (?, ?)", items)
+    table, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    df, res = decontaminate.find(table, bench), con.execute(decontaminate.ORACLE)
+    got = rows_of(df.columns, map(tuple, df.collect()))
+    assert got == rows_of([d[0] for d in res.description], res.fetchall())
+    assert sorted(r.doc_id for r in decontaminate.remove(table, bench).collect()) == [5000, 5001]
+
+
 def test_null_ids_and_repeated_rows(odd, odd_rows):
     n = len(odd_rows)
     for df in (exact_dedup.dedup(odd), similar.join(odd), sharding.shard_documents(odd)):
