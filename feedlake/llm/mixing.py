@@ -13,12 +13,15 @@ size. lambda minimises a convex dual whose gradient and curvature are sums over
 Newton steps (kept inside a bracket by bisection) run on one
 row per (source, size), which is exact because equal sizes have equal rates.
 
-Copies. With v_d a hash of doc_id in [0, 1), copies(t) = floor(r_d + v_d + t)
-in 0..max_rate grows with t, and the number of words taken with it. The
-breakpoints' words are summed per source in ``BINS`` bins, then again inside
-the bin that crosses the target, which gives the t whose total is just under it.
-What remains (less than one bin) is filled with single documents, the largest
-that still fits first (``FILLS`` rounds). All sums are integers, so reruns agree.
+Copies. With v_d a hash of doc_id in [0, 1), the j-th copy of d (j up to
+max_rate) stands at b = j - r_d - v_d. Copies that are not larger than the
+target are taken by rising b, up to the one that crosses it. What remains is
+filled from the copies left over, the largest first, each if it still fits.
+Both orders are walked in the same way: words are summed per source in ``BINS``
+bins, again inside the bin that crosses the need, and so on until one place is
+left, which is set aside. The fill goes on behind that place with the words
+still needed, less than half of them each time, until no copy fits. All sums
+are integers, so reruns agree.
 
 Defined cases: null and empty texts have size 0 and take nothing; a null
 doc_id has a fixed hash; repeated rows share one decision; an empty table
@@ -39,7 +42,6 @@ WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 MAX_RATE = 2
 BINS = 4096
-FILLS = 4
 STEPS_PER_JOB, MAX_JOBS, TOLERANCE = 4, 10, 1e-9
 
 
@@ -116,35 +118,60 @@ def _hash01(doc_id: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit("mix")), 11) / F.lit(float(1 << 53))
 
 
-def _copies(rate: Column, v: Column, shift: Column, max_rate: int) -> Column:
-    """Breakpoint j (1..max_rate) is passed when j - (rate + v) <= shift."""
-    return F.least(F.lit(max_rate), F.greatest(F.lit(0), F.floor(rate + v + shift))).cast("int")
+def _place(j: int) -> Column:
+    return F.lit(j) - F.col("rate") - F.col("v")
 
 
-def _crossing(points: DataFrame, goal: DataFrame, low: Column, width: Column) -> DataFrame:
-    """Per source: the last bin edge whose cumulative words do not exceed the goal, and the bin's width.
+def _fill_place(j: int, mass: Column, max_rate: int) -> Column:
+    """The largest mass first, then by copy and hash."""
+    return (F.col("v") + F.lit(j - 1)) / F.lit(max_rate) - mass
 
-    ``points`` (sid, b, size), ``goal`` (sid, need, lo, width); the result has lo, width / BINS and the need left.
+
+def _crossing(points: DataFrame, ahead: DataFrame) -> DataFrame:
+    """Per source: first and last place of the first bin whose cumulative words exceed the need, and the need before it.
+
+    ``points`` (sid, mass, at), ``ahead`` (sid, limit, after, low, high, need). Without such a bin all is
+    taken and low and high are null; sources without points ahead have no row.
+    """
+    at, low, high = F.col("at"), F.col("low"), F.col("high")
+    p = points.join(bounded_broadcast(ahead), "sid").filter(
+        (F.col("mass") <= F.col("limit")) & (at > F.col("after")) & (at >= low) & (at <= high))
+    width = F.when(high > low, high - low).otherwise(1.0)
+    keys = ["sid", "limit", "after", "need"]
+    binned = p.groupBy(*keys, F.floor((at - low) / width * BINS).alias("bin")).agg(
+        F.sum("mass").alias("mass"), F.min("at").alias("low"), F.max("at").alias("high"))
+    binned = binned.withColumn("cum", F.sum("mass").over(Window.partitionBy("sid").orderBy("bin")))
+    out = binned.groupBy(*keys).agg(F.sum("mass").alias("all"), F.min(F.when(F.col("cum") > F.col("need"), F.struct(
+        "bin", "low", "high", (F.col("cum") - F.col("mass")).alias("used")))).alias("cross"))
+    return out.select("sid", "limit", "after", (F.col("need") - F.coalesce(F.col("cross.used"), F.col("all"))).alias("need"),
+                      F.col("cross.low").alias("low"), F.col("cross.high").alias("high"))
+
+
+def _walk(points: DataFrame, goal: DataFrame, low: Column, high: Column, once: bool) -> DataFrame:
+    """Strides (sid, limit, after, before, need): points with after < at < before and mass <= limit are taken.
+
+    ``goal`` (sid, need); ``low`` and ``high`` are outside of all places of a source (by its need). ``once``: one stride
+    a source; else as many as it takes until no point fits.
     """
-    p = points.join(bounded_broadcast(goal), "sid").filter((F.col("b") > low) & (F.col("b") <= low + width))
-    binned = p.groupBy("sid", F.ceil((F.col("b") - low) / width * BINS).cast("int").alias("bin")).agg(
-        F.sum("size").alias("mass"))
-    run = Window.partitionBy("sid").orderBy("bin")
-    cum = binned.withColumn("cum", F.sum("mass").over(run)).join(bounded_broadcast(goal), "sid")
-    fits = cum.groupBy("sid").agg(
-        F.coalesce(F.max(F.when(F.col("cum") <= F.col("need"), F.col("bin"))), F.lit(0)).alias("bin"),
-        F.coalesce(F.max(F.when(F.col("cum") <= F.col("need"), F.col("cum"))), F.lit(0)).alias("used"),
-        F.min(F.when(F.col("cum") > F.col("need"), F.col("bin"))).alias("next"))
-    out = goal.join(fits, "sid", "left")
-    edge = F.coalesce(F.col("next") - 1, F.lit(BINS))
-    return out.select("sid", (F.col("need") - F.coalesce(F.col("used"), F.lit(0))).alias("need"),
-                      (F.col("lo") + F.col("width") * edge / BINS).alias("lo"),
-                      (F.col("width") / BINS).alias("width"))
-
-
-def plan(sized: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, max_rate: int = MAX_RATE,
-         fills: int = FILLS) -> DataFrame:
-    """The mix of a written table (doc_id, source, size): one row per source with lambda, shift and filled doc_ids."""
+    ahead = written(goal.filter(F.col("need") > 0).select(
+        "sid", F.col("need").alias("limit"), low.alias("after"), low.alias("low"), high.alias("high"), "need"), "mix-goal")
+    strides = ahead.select("sid", "limit", "after", F.col("high").alias("before"), "need").limit(0)
+    while not ahead.isEmpty():
+        out = written(_crossing(points, ahead), "mix-cross")
+        wide = F.coalesce(F.col("high") > F.col("low"), F.lit(False))
+        strides = strides.unionByName(out.filter(~wide).select(
+            "sid", "limit", "after", F.coalesce(F.col("low"), F.lit(float("inf"))).alias("before"), "need"))
+        on = wide if once else wide | (F.col("low").isNotNull() & (F.col("need") > 0))
+        ahead = out.filter(on).select(
+            "sid", F.when(wide, F.col("limit")).otherwise(F.col("need")).alias("limit"),
+            F.when(wide, F.col("after")).otherwise(F.col("low")).alias("after"), "low",
+            F.when(wide, F.col("high")).otherwise(high).alias("high"), "need")
+    return strides
+
+
+def plan(sized: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE,
+         max_rate: int = MAX_RATE) -> tuple[DataFrame, DataFrame | None]:
+    """The mix of a written table (doc_id, source, size): one row per source with lambda, crossing and strides; repeated rows, if any."""
     hist = written(sized.groupBy("source", "size").agg(F.count("*").alias("n")), "mix-hist")
     targets = written(source_targets(hist, weights, share, max_rate), "mix-targets")
     lam = solve_rates(hist, targets, max_rate)
@@ -152,26 +179,21 @@ def plan(sized: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SH
         "*", F.when(F.col("full"), F.lit(None)).otherwise(F.col("lam")).alias("_l")).drop("lam")
         .withColumnRenamed("_l", "lam"), "mix-rates")
     rated = _rated(sized, params, max_rate).filter(~F.col("full") & (F.col("size") > 0))
-    points = rated.select("sid", "size", F.explode(F.array(*[F.lit(j) - F.col("rate") - F.col("v")
-                                                             for j in range(1, max_rate + 1)])).alias("b"))
+    units = written(rated.groupBy("sid", "source", "size", "rate", "v").agg(F.count("*").alias("n")), "mix-units")
+    mass, js = F.col("size") * F.col("n"), range(1, max_rate + 1)
+    points = units.select("sid", mass.alias("mass"), F.explode(F.array(*[_place(j) for j in js])).alias("at"))
     goal = params.filter(~F.col("full") & (F.col("source_size") > 0)).select(
-        "sid", F.floor(F.col("target")).alias("need"), F.lit(-float(max_rate)).alias("lo"),
-        F.lit(2.0 * max_rate).alias("width"))
-    for level in range(2):
-        goal = written(_crossing(points, goal, F.col("lo"), F.col("width")), f"mix-cross{level}")
-    shifts = goal.select("sid", F.col("lo").alias("shift"), "need")
-    params = params.join(shifts, "sid", "left").withColumn("filled", F.array().cast("array<string>"))
-    for i in range(fills):
-        params = written(params, f"mix-fill{i}")
-        fit = decide(sized, params, max_rate).filter(
-            ~F.col("full") & (F.col("size") > 0) & (F.col("size") <= F.col("need")) & (F.col("copies") < max_rate))
-        best = fit.groupBy("sid").agg(F.max(F.struct("size", "v", F.col("doc_id").cast("string").alias("id"))).alias("best"))
-        params = params.join(best, "sid", "left").select(
-            *[c for c in params.columns if c not in ("need", "filled")],
-            (F.col("need") - F.coalesce(F.col("best.size"), F.lit(0))).alias("need"),
-            F.when(F.col("best.id").isNotNull(), F.concat("filled", F.array(F.col("best.id"))))
-            .otherwise(F.col("filled")).alias("filled"))
-    return written(params, "mix-plan")
+        "sid", F.floor(F.col("target")).alias("need"))
+    first = written(_walk(points, goal, F.lit(-1.0 - max_rate), F.lit(1.0 + max_rate), once=True), "mix-first")
+    over = units.join(bounded_broadcast(first.select("sid", "before", "need")), "sid").filter(mass <= F.col("need"))
+    over = over.select("sid", mass.alias("mass"), F.explode(F.filter(F.array(*[
+        F.when(_place(j) >= F.col("before"), _fill_place(j, mass, max_rate)) for j in js]), F.isnotnull)).alias("at"))
+    fills = _walk(written(over, "mix-over"), first.select("sid", "need"), -1.0 - F.col("need"), F.lit(1.0), once=False)
+    fills = fills.groupBy("sid").agg(F.collect_list(F.struct("limit", "after", "before")).alias("fills"))
+    params = params.join(first.select("sid", "limit", "before"), "sid", "left").join(fills, "sid", "left")
+    params = written(params, "mix-plan")
+    repeated = units.filter(F.col("n") > 1).select("source", "size", "v", "n")
+    return params, None if repeated.isEmpty() else written(repeated, "mix-repeated")
 
 
 def _rated(rows: DataFrame, params: DataFrame, max_rate: int) -> DataFrame:
@@ -183,13 +205,19 @@ def _rated(rows: DataFrame, params: DataFrame, max_rate: int) -> DataFrame:
     return out.withColumn("rate", rate).withColumn("v", _hash01(F.col("doc_id")))
 
 
-def decide(rows: DataFrame, params: DataFrame, max_rate: int = MAX_RATE) -> DataFrame:
+def decide(rows: DataFrame, params: DataFrame, repeated: DataFrame | None, max_rate: int = MAX_RATE) -> DataFrame:
     """Add ``copies`` (0..max_rate) to rows with doc_id, source, size."""
-    out = _rated(rows, params, max_rate)
-    base = _copies(F.col("rate"), F.col("v"), F.coalesce(F.col("shift"), F.lit(0.0)), max_rate)
-    extra = F.coalesce(F.array_contains("filled", F.col("doc_id").cast("string")).cast("int"), F.lit(0))
-    copies = F.when(F.col("full"), F.lit(max_rate)).otherwise(F.least(F.lit(max_rate), base + extra))
-    return out.withColumn("copies", copies)
+    out, mass = _rated(rows, params, max_rate), F.col("size")
+    if repeated is not None:  # repeated rows are taken together, so what must fit is the sum of their sizes
+        r = repeated.select(*[F.col(c).alias(f"_{c}") for c in repeated.columns])
+        out = out.join(bounded_broadcast(r), F.col("source").eqNullSafe(F.col("_source")) & (F.col("size") == F.col("_size"))
+                       & (F.col("v") == F.col("_v")), "left")
+        mass = mass * F.coalesce("_n", F.lit(1))
+    taken = [F.when(_place(j) < F.col("before"), mass <= F.col("limit")).otherwise(F.exists("fills", lambda s: (
+        (_fill_place(j, mass, max_rate) > s["after"]) & (_fill_place(j, mass, max_rate) < s["before"]) & (mass <= s["limit"]))))
+        for j in range(1, max_rate + 1)]
+    base = sum((F.coalesce(t.cast("int"), F.lit(0)) for t in taken), F.lit(0))
+    return out.withColumn("copies", F.when(F.col("full"), F.lit(max_rate)).otherwise(base))
 
 
 def sized_rows(docs: DataFrame) -> DataFrame:
@@ -199,14 +227,14 @@ def sized_rows(docs: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, **options) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken, copies."""
     sized = written(sized_rows(docs), "mix-sized")
-    out = decide(sized, plan(sized, **options), options.get("max_rate", MAX_RATE))
+    out = decide(sized, *plan(sized, **options), options.get("max_rate", MAX_RATE))
     return out.select("doc_id", "size", "source_size", "target",
                       (F.col("copies") * F.col("size")).cast("bigint").alias("taken"), "copies")
 
 
 def mix_rows(docs: DataFrame, **options) -> DataFrame:
     """The mixed documents themselves, repeated ``copies`` times, with the columns of the input."""
-    params = plan(written(sized_rows(docs), "mix-sized"), **options)
+    planned = plan(written(sized_rows(docs), "mix-sized"), **options)
     rows = docs.select("doc_id", "source", n_words(text_of()).alias("size"), F.struct(*docs.columns).alias("_row"))
-    out = decide(rows, params, options.get("max_rate", MAX_RATE)).filter(F.col("copies") > 0)
+    out = decide(rows, *planned, options.get("max_rate", MAX_RATE)).filter(F.col("copies") > 0)
     return out.select(F.explode(F.array_repeat("_row", F.col("copies"))).alias("_row")).select("_row.*")

@@ -197,6 +197,40 @@ def test_mixing_odd_rows(odd, odd_rows, no_docs):
     assert copies == +want
 
 
+@pytest.mark.parametrize("share", [0.75, 1.3])
+def test_mixing_with_one_very_long_document(spark, share):
+    """Copies by rising place, then the largest that fit, written out; a long document or repeated rows stop nothing."""
+    rows = [(i, s, "w " * (90 + i % 21)) for s, n in (("a", 0), ("b", 2000)) for i in range(n, n + 700)]
+    rows += [(9000, "a", "w " * 140_000), (9001, "b", "w " * 30_000)] + [(100, "b", "w " * 100)] * 300
+    table = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(4)
+    sized = mixing.written(mixing.sized_rows(table), "test-sized")
+    params, repeated = mixing.plan(sized, weights=(1.0,), share=share)
+    places, target = collections.defaultdict(collections.Counter), {}
+    for r in mixing._rated(sized, params, 2).collect():
+        assert not r.full
+        target[r.source] = r.target
+        for j in (1, 2):
+            places[r.source][j - r.rate - r.v, j, r.v, r.doc_id] += r["size"]
+    want = collections.Counter()
+    for source, units in places.items():
+        left = limit = int(target[source])
+        walk = sorted(u for u in units.items() if u[1] <= limit)
+        while walk and walk[0][1] <= left:
+            (*_, doc), mass = walk.pop(0)
+            left -= mass
+            want[source, doc] += 1
+        for (_, j, v, doc), mass in sorted(walk, key=lambda u: (-u[1], u[0][1] + u[0][2])):
+            if mass <= left:
+                left -= mass
+                want[source, doc] += 1
+        assert left < 90
+    out = mixing.decide(sized, params, repeated).collect()
+    assert all(r.copies == want[r.source, r.doc_id] for r in out)
+    copies = collections.Counter((r.doc_id, r.source) for r in mixing.mix_rows(table, weights=(1.0,), share=share).collect())
+    n = collections.Counter((d, s) for d, s, _ in rows)
+    assert copies == +collections.Counter({k: n[k] * want[k[1], k[0]] for k in n})
+
+
 # --- operator 4
 
 def components_by_brute_force(rows, k, percent):
