@@ -2,7 +2,8 @@
 
 A page is parsed into a flat element table (parents before children).
 Elements that never hold article text (scripts, menus, forms, notices, ...)
-are left out with all they contain. Every block with text gets points for its
+are left out with all they contain, but an element is not left out for its
+class, id or role if it holds the article itself. Every block with text gets points for its
 length and commas and passes them to its ancestors, less with each level.
 A container's points are discounted by its link density. The best container
 and those of its siblings that look like the same article are kept; inside an
@@ -46,6 +47,8 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 SCOPES = frozenset("ul ol dl table select body html article div".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 BONUS = {"article": 25.0, "main": 15.0, "section": 5.0, "div": 5.0, "blockquote": 3.0, "pre": 3.0, "td": 3.0}
+#: Fixed value: share of an element's text from which articles outside of it are the page's article.
+BESIDE = 0.2
 
 #: Words in class, id or role that mark what is not the article.
 _AWAY = re.compile(
@@ -54,21 +57,31 @@ _AWAY = re.compile(
     r"related|replies|respond|search|share|sharing|sidebar|signup|skip|social|sponsor\w*|subscribe|toolbar|widget|"
     r"(?:site|page|top|global)[_-]?header)"
     r"(?:$|[\s_-])", re.I)
-_HEADER = re.compile(r"""(?:class|id|role)\s*=\s*["']?(?:header|banner)["'\s>]""", re.I)
+_NAMES = ("class", "id", "role")
 _KEEP_TAGS = frozenset(("html", "body", "article", "main"))
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>|<([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|[^<]+|<""", re.S)
-_ATTR = re.compile(r"""(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_ATTR = re.compile(r"""([^\s/>=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-def _is_away(tag: str, attrs: str) -> bool:
+def _attributes(attrs: str) -> dict[str, str]:
+    """Values by full lower-case name; the first of a name counts."""
+    out: dict[str, str] = {}
     for name, value in _ATTR.findall(attrs):
-        name, value = name.lower(), value.strip("\"'")
-        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and _HIDDEN.search(value):
-            return True
-        if name in ("class", "id", "role") and tag not in _KEEP_TAGS and _AWAY.search(value):
-            return True
-    return False
+        out.setdefault(name.lower(), value.strip("\"'"))
+    return out
+
+
+def _is_hidden(attrs: dict[str, str]) -> bool:
+    return "hidden" in attrs or attrs.get("aria-hidden") == "true" or bool(_HIDDEN.search(attrs.get("style", "")))
+
+
+def _is_named_away(tag: str, attrs: dict[str, str]) -> bool:
+    return tag not in _KEEP_TAGS and any(_AWAY.search(attrs[k]) for k in _NAMES if k in attrs)
+
+
+def _is_header(tag: str, attrs: dict[str, str]) -> bool:
+    return tag == "header" or any(attrs[k].lower().split(None, 1)[:1] in (["header"], ["banner"]) for k in _NAMES if k in attrs)
 
 
 class _Page:
@@ -78,6 +91,7 @@ class _Page:
         self.tag, self.parent, self.away, self.block, self.link = ["#"], [0], [False], [0], [False]
         self.out: list[tuple[int, str] | None] = []
         self.headers: list[int] = []
+        self.named: list[int] = []
 
     def add(self, tag: str, parent: int, away: bool) -> int:
         n = len(self.tag)
@@ -132,14 +146,17 @@ def _parse(html: str) -> _Page:
                         break
             if tag in VOID:
                 continue
-            away = tag in LEFT_OUT or bool(attrs) and _is_away(tag, attrs)
+            values = _attributes(attrs) if attrs else {}
+            away = tag in LEFT_OUT or _is_hidden(values)
             if tag in RAW:
                 close = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(html, at)
                 at = close.end() if close else end
                 continue
             stack.append(page.add(tag, stack[-1], away))
-            if tag == "header" or attrs and _HEADER.search(attrs):
+            if _is_header(tag, values):
                 page.headers.append(stack[-1])
+            if _is_named_away(tag, values):
+                page.named.append(stack[-1])
             if attrs.endswith("/") and tag not in BLOCK and tag in ("svg", "math"):
                 stack.pop()
         else:
@@ -159,6 +176,50 @@ def _header_of_article(page: _Page, node: int) -> bool:
     return False
 
 
+def _leave_out_named(page: _Page) -> None:
+    """Leave out what its class, id or role says, but not what is the article itself.
+
+    An element stays if it holds an article or main element and none stands outside, or if it holds most of the
+    page's unlinked text, unless article elements outside hold a good part (``BESIDE``) of as much.
+    """
+    n, parent, tags, away = len(page.tag), page.parent, page.tag, page.away
+    named = set(page.named)
+    owner, in_article = [0] * n, [False] * n  # nearest named element
+    for i in range(1, n):
+        owner[i] = i if i in named else owner[parent[i]]
+        in_article[i] = tags[i] == "article" or in_article[parent[i]]
+    plain, beside = [0] * n, [0] * n
+    for e in page.out:
+        if e is not None and not away[e[0]] and not page.link[e[0]]:
+            length = len(e[1].strip())
+            plain[e[0]] += length
+            if in_article[e[0]]:
+                beside[owner[e[0]]] += length
+    kinds = ("article", "main")
+    held = {k: [int(t == k and not gone) for t, gone in zip(tags, away)] for k in kinds}
+    outside = {k: [0] * n for k in kinds}
+    for k in kinds:
+        for i in range(n):
+            outside[k][owner[i]] += held[k][i]
+    for i in range(n - 1, 0, -1):
+        plain[parent[i]] += plain[i]
+        for k in kinds:
+            held[k][parent[i]] += held[k][i]
+    for i in range(1, n):  # from here on beside and outside are what stays out of a named element, handed down
+        p = parent[i]
+        away[i] = away[i] or away[p]
+        if i in named and not away[i]:
+            most = 2 * plain[i] > plain[0] and beside[p] < BESIDE * plain[i]
+            away[i] = not (most or any(held[k][i] and not outside[k][p] for k in kinds))
+            beside[i] += beside[p]
+            for k in kinds:
+                outside[k][i] += outside[k][p]
+        else:
+            beside[i] = beside[p]
+            for k in kinds:
+                outside[k][i] = outside[k][p]
+
+
 def main_text(html: str | None) -> str:
     """The article of one page as blocks joined by newlines."""
     if not html:
@@ -170,6 +231,8 @@ def main_text(html: str | None) -> str:
         away[i] = away[i] or not _header_of_article(page, i)
     for i in range(1, n):
         away[i] = away[i] or away[parent[i]]
+    if page.named:
+        _leave_out_named(page)
     size, linked, commas = [0] * n, [0] * n, [0] * n
     for e in page.out:
         if e is not None and not away[e[0]]:

@@ -342,6 +342,35 @@ def test_main_text():
     assert len(html_text.main_text("<article><p>" + "word, " * 50_000 + "</article>")) == 299_999
 
 
+LONG = "A sentence of the article, with a comma, that is long enough to count. " * 8
+
+
+@pytest.mark.parametrize("attrs", ['href="/hidden-gems"', 'title="the hidden cost"', 'data-hidden="false"', 'data-id="sidebar"',
+                                   "data-x='class=\"header\"'", 'title="style=display:none"', "href=/a?id=nav"])
+def test_attributes_are_read_by_full_name(attrs):
+    for tag in ("p", "div", "a"):
+        assert html_text.main_text(f"<body><article><p>{LONG}</p><{tag} {attrs}>kept text</{tag}></article></body>").endswith("kept text")
+
+
+@pytest.mark.parametrize("attrs", ["hidden", "HIDDEN=''", 'class="x" hidden', "aria-hidden='true'", 'style="display: none"',
+                                   'class="x"hidden', 'class="site-header"', "id=nav", 'role = "navigation"'])
+def test_what_is_hidden_or_named_stays_out(attrs):
+    assert html_text.main_text(f"<body><article><p>{LONG}</p><div {attrs}>lost text</div></article></body>") == LONG.strip()
+
+
+@pytest.mark.parametrize("name", ["post with-sidebar", "no-sidebar", "has-comments", "page nav-open"])
+def test_a_wrapper_named_by_its_layout_stays(name):
+    text, side = LONG.strip(), '<div class="sidebar">side text</div><div class="post-comments"><p>first comment</p></div>'
+    for page in (f'<body><div class="{name}"><p>{LONG}</p>{side}</div></body>',
+                 f'<body><main><div class="{name}"><p>{LONG}</p></div></main>{side}</body>',
+                 f'<body><div class="{name}"><article><p>{LONG}</p></article>{side}</div><div>{LONG * 2}</div></body>',
+                 f'<body><div class="{name}"><div id="{name}"><main><p>{LONG}</p>{side}</main></div></div></body>'):
+        assert html_text.main_text(page) == text, page
+    # comments longer than the article are still comments, also if each is an article element
+    for talk in (f"<p>{LONG * 3}</p>", f"<article><p>{LONG * 2}</p></article>" * 2):
+        assert html_text.main_text(f'<body><article><p>{LONG}</p></article><div class="comments">{talk}</div></body>') == text
+
+
 def test_extract(spark, sf):
     import re
     from html import unescape
