@@ -1,4 +1,9 @@
-"""Operator 9: passages that repeat across documents, by sparse suffix arrays.
+"""Operator 9: passages that repeat across documents, by grouping sparse suffixes.
+
+This departs from a sparse suffix array: suffixes are not sorted, neighbours not
+compared and matches not extended word by word. Grouping by hashes takes their
+place, since a range sort ships whole suffixes and puts all that share a hot
+passage side by side, while hashes are short and are aggregated partially in each task.
 
 Only suffixes that start at a minimiser are kept: of every ``SPREAD``
 consecutive ``GRAM``-word grams the one with the smallest hash (the first on
@@ -7,12 +12,12 @@ a tie). The choice depends on the words alone, so two documents that share
 most SPREAD - 1 words after its start; the suffixes agree on
 ``MIN_WORDS - SPREAD + 1`` words at least.
 
-1. Sort and compare: suffixes are brought together by the hash of that many
-   leading words; a suffix whose neighbours are all of its own document drops
+1. Group instead of sorting: suffixes are brought together by the hash of that many
+   leading words; a suffix whose group is all of its own document drops
    out. A document that repeats one passage many times holds its key once. (One aggregation with partial minima and maxima, then a join, so a
    passage in very many documents is neither gathered nor paired.)
-2. Extend left and right: around each suffix left, the windows of MIN_WORDS
-   words that have it as their minimiser are compared in the same way. A
+2. Windows instead of extending: around each suffix left, the windows of MIN_WORDS
+   words that have it as their minimiser are grouped by their hashes in the same way. A
    window found in two documents is repeated; overlapping windows merge into
    maximal passages.
 
