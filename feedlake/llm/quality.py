@@ -197,6 +197,5 @@ def filter_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRE
                      train_rows: int = TRAIN_ROWS) -> DataFrame:
     """The documents whose score reaches the threshold, with all their columns."""
     model = train(docs, labels, train_rows)
-    columns = [c for c in docs.columns if c != "_text"]
-    rows = docs.select(*columns, text_of().alias("_text"))
-    return rows.mapInArrow(_score_batches(model, columns, threshold, True), rows.drop("_text").schema)
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), text_of().alias("_text"))
+    return rows.mapInArrow(_score_batches(model, ["_row"], threshold, True), rows.drop("_text").schema).select("_row.*")

@@ -83,9 +83,10 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 def shard_rows(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """Whole documents with ``shard`` and ``slot`` (pipeline form)."""
-    out = assign(docs.withColumn("_crc", F.crc32(text_of().cast("binary"))), "doc_id", [1.0] * shards, tie=("_crc",))
-    return out.select(*[c for c in docs.columns if c not in ("shard", "slot")],
-                      F.col("shard").cast("int").alias("shard"), "slot")
+    kept = [c for c in docs.columns if c not in ("shard", "slot")]
+    rows = docs.select("doc_id", F.crc32(text_of().cast("binary")).alias("_crc"), F.struct(*kept).alias("_row"))
+    out = assign(rows, "doc_id", [1.0] * shards, tie=("_crc",))
+    return out.select("_row.*", F.col("shard").cast("int").alias("shard"), "slot")
 
 
 def oracle(shards: int = SHARDS, cell_rows: int = CELL_ROWS) -> str:

@@ -380,7 +380,8 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """The document with the smallest doc_id of each component (rows with null doc_id stay), with all columns."""
     out = join(docs, k, percent).filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_drop"))
     gone = written(out.distinct(), "similar-gone")
-    return docs.join(bounded_broadcast(gone), F.col("doc_id") == F.col("_drop"), "left_anti")
+    rows = docs.select("doc_id", F.struct(*docs.columns).alias("_row"))
+    return rows.join(bounded_broadcast(gone), F.col("doc_id") == F.col("_drop"), "left_anti").select("_row.*")
 
 
 ORACLE = r"""

@@ -3,7 +3,8 @@
 import corpus_pipeline
 import pytest
 from feedlake.llm.common import written
-from feedlake.llm import mixing, quality, sharding
+from feedlake.llm import mixing, quality, sharding, similar
+from pyspark.sql import functions as F
 from test_operators import components_by_brute_force
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -66,3 +67,15 @@ def test_weights_share_the_rows(spark):
     out = sharding.assign(spark.range(4000).withColumnRenamed("id", "doc_id"), "doc_id", weights, cell_rows=100)
     counts = {r.shard: r["count"] for r in out.groupBy("shard").count().collect()}
     assert abs(counts[0] / 4000 - 0.75) < 0.03
+
+
+def test_columns_named_like_inner_ones_stay(spark, sf):
+    """The stages keep input columns whose names they use inside."""
+    names = ["_text", "_crc", "_drop", "_row", "_cell", "_n", "_offset"]
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(60).select("*", *[F.concat(F.lit(c), F.col("doc_id")).alias(c) for c in names])
+    docs = written(docs, "pipeline-test")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    for out in (quality.filter_documents(docs, labels, threshold=0.0), sharding.shard_rows(docs), similar.keep_one(docs)):
+        assert [c for c in out.columns if c not in ("shard", "slot")] == docs.columns
+        rows = out.collect()
+        assert rows and all(r[c] == f"{c}{r.doc_id}" for r in rows for c in names)
