@@ -70,7 +70,7 @@ SAMPLE_PER_BUCKET = 32
 SAMPLE_SEED = 20240601
 
 
-def _boundaries(df: DataFrame, cols: list[str], n: int) -> list[tuple]:
+def boundaries(df: DataFrame, cols: list[str], n: int) -> list[tuple]:
     """Up to ``n - 1`` sorted boundary tuples from a seeded sample of 32 rows per bucket, taken in one pass."""
     if n <= 1:
         return []
@@ -82,7 +82,7 @@ def _boundaries(df: DataFrame, cols: list[str], n: int) -> list[tuple]:
     return sorted({rows[min(len(rows) - 1, int(step * i))] for i in range(1, n)})
 
 
-def _bucket_expr(df: DataFrame, cols: list[str], bounds: list[tuple]):
+def bucket_of(df: DataFrame, cols: list[str], bounds: list[tuple]):
     """Number of boundaries <= the row's tuple: a binary search, so the expression does not grow with ``bounds``."""
     if not bounds:
         return F.lit(0)
@@ -142,7 +142,7 @@ def prefix_scan(df: DataFrame, keys: list[str], order: list[str], value: str, op
     path = scratch_path(spark, "scan")
     df.write.parquet(path)
     df = spark.read.schema(df.schema).parquet(path)
-    bucketed = df.withColumn(BKT, _bucket_expr(df, cols, _boundaries(df, cols, n)))
+    bucketed = df.withColumn(BKT, bucket_of(df, cols, boundaries(df, cols, n)))
     dealt = bucketed.repartition(n, BKT).sortWithinPartitions(BKT, *cols)
     schema = T.StructType(list(bucketed.schema.fields) + [T.StructField(LOCAL, T.LongType(), False)])
     local = dealt.mapInPandas(_local_scan([BKT] + keys, value, op), schema)
