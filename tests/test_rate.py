@@ -75,12 +75,12 @@ def test_scan_reads_its_source_once(spark):
     assert seen.value == 1000
 
 
-def test_bucket_expression_does_not_grow(spark):
-    from feedlake.operators.scan import _bucket_expr
+def testbucket_ofession_does_not_grow(spark):
+    from feedlake.operators.scan import bucket_of
 
     df = spark.range(5000).selectExpr("CAST(id % 7 AS INT) AS k", "id AS t")
     bounds = [(k, t) for k in range(7) for t in range(0, 5000, 50)]
-    got = df.withColumn("b", _bucket_expr(df, ["k", "t"], bounds)).collect()
+    got = df.withColumn("b", bucket_of(df, ["k", "t"], bounds)).collect()
     import bisect
 
     assert all(r.b == bisect.bisect_right(bounds, (r.k, r.t)) for r in got)
