@@ -25,12 +25,18 @@ ceil((H + 1) / 2) larger segments, by each subset and each subset less one eleme
 among those, two sets within H differ in at most one element of some segment. A similar
 pair shares a cheap bucket, or all its shared buckets are costly and both sets are in the second index.
 
+Groups. Sets that are nearly similar share many subsets, so buckets repeat
+each other. Buckets with the same members become one, and the buckets of one leader (their smallest
+member) become one group where comparing all its members costs no more than
+comparing the members of each bucket.
+
 Components. Only connected components are asked for, so pairs already
-connected are not compared: a star round links every member of a bucket to
-one leader (another one in each bucket), then the remaining pairs across components are joined. All
-candidates pass a size test and a 512-bit parity sketch (its differing bits
-never exceed the differing elements) inside the join, then a 4096-bit one, and are verified
-on the shingle sets.
+connected are not compared: a star round links every member of a group to
+``LEADERS`` of its members, then the remaining pairs across components are compared in
+blocks of ``BLOCK`` members, a task at a time for two blocks, so a large group is split.
+All candidates pass a size test and a parity sketch with about a cell for each
+element (differing cells never exceed the differing elements) where they are found, and are
+verified on the shingle sets.
 
 Equal sets form a class, represented by its smallest doc_id; only classes are indexed
 (each task indexes a set once, the rest is removed on the map side).
@@ -56,12 +62,17 @@ from feedlake.llm.common import bounded_broadcast, small_arrow_batches, text_of,
 from feedlake.llm.components import components
 from feedlake.llm.words import mix, shingle_sets
 
-STAR_ROUNDS = 1
-#: One comparison of two sketches inside a join (about 0.2 microseconds), measured in rows of an index that are
-#: made, shuffled and sorted (about 4 microseconds).
+LEADERS = 4
+BLOCK = 256
+#: One comparison of two sketches in a block (about 0.2 microseconds for sets of some hundred elements), measured in rows of
+#: an index that are made, shuffled and sorted (about 4 microseconds).
 COMPARISON_COST = 1 / 16
 RARE = 1e-3
-SKETCH_BITS, WIDE_BITS = 512, 4096
+#: Sets that a task remembers to have indexed; equal sets met again later are removed by the aggregation that follows.
+SEEN = 1 << 17
+#: A class with one in so many rows is heavy.
+HEAVY_SHARE = 1000
+SKETCH_BITS, MOST_BITS = 512, 1 << 17
 
 
 @dataclass(frozen=True)
@@ -169,6 +180,11 @@ def sketch(s: np.ndarray, bits: int = SKETCH_BITS) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view("<i8")
 
 
+def cells(n: int) -> int:
+    """Cells of the wide sketch of a set of n elements: a power of two, about one cell for each element."""
+    return min(MOST_BITS, max(SKETCH_BITS, 1 << (n - 1).bit_length()))
+
+
 def _digest(s: np.ndarray) -> tuple[int, int]:
     a, b = mix(s ^ np.uint64(0xA0761D6478BD642F)).sum(dtype=np.uint64), mix(s + np.uint64(0xE7037ED1A0B428DB)).sum(dtype=np.uint64)
     return int(a.view(np.int64)), int(b.view(np.int64))
@@ -193,8 +209,10 @@ def _index_batches(k: int):
                     rows[2].append(h[1])
                     new = len(s) > 0 and h not in seen
                     rows[3].append(sketch(s) if new else None)
-                    rows[4].append(sketch(s, WIDE_BITS) if new else None)
+                    rows[4].append(sketch(s, cells(len(s))) if new else None)
                     seen.add(h)
+                if len(seen) > SEEN:
+                    seen.clear()
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *[pa.array(r, t) for r, t in zip(rows, kinds)]],
                                                  ["doc_id", "n", "h1", "h2", "sketch", "wide"])
@@ -213,6 +231,8 @@ def _signature_batches(k: int, percent: int):
                 for s in shingle_sets(part.column("text").cast(pa.binary()).to_pylist(), k):
                     h = _digest(s)
                     if len(s) and h not in seen:
+                        if len(seen) > SEEN:
+                            seen.clear()
                         seen.add(h)
                         sig, scheme, skip = exact_signatures(s, percent)
                         parts.append((_longs(sig), np.full(len(sig), h[0], np.int64), scheme, skip))
@@ -306,7 +326,8 @@ def link_classes(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, Data
         shared.select("h1").distinct(), "h1", "left_semi").groupBy("h1", "h2").agg(
             F.first("sketch").alias("sketch"), F.first("wide").alias("wide"))
     nodes = written(classes.join(sketches, ["h1", "h2"]).select("h1", "h2", "node", "n", "sketch", "wide"), "similar-nodes")
-    found = shared.join(nodes.select("h1", "node", "n", "sketch"), "h1").drop("h1")
+    groups = _groups(shared)
+    found = groups.join(nodes.select("h1", "node", "n", "sketch"), "h1").drop("h1")
     found = found.withColumn("k", F.count("*").over(w)).withColumn("mean", F.avg("n").over(w))
     costly = (F.col("k") - 1) * COMPARISON_COST > 2 * (F.col("mean") + F.col("mean") * (100 - percent) / (100 + percent))
     found = written(found.withColumn("costly", costly).drop("k", "mean"), "similar-rows")
@@ -315,51 +336,161 @@ def link_classes(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, Data
     sets = written(sets.withColumnRenamed("doc_id", "node").mapInArrow(
         _set_batches(k), f"node {kind}, elements array<bigint>").dropDuplicates(["node"]), "similar-sets")
 
-    links, comp = None, nodes.select("node", F.col("node").alias("component"))
-    for i in range(STAR_ROUNDS):
-        w = Window.partitionBy("sig")
-        live = _mixed(_with_component(found, comp)).withColumn("lead", F.min(F.struct(
-            F.xxhash64("node", "sig", F.lit(i)).alias("h"), "node", "n", "sketch", "comp")).over(w))
-        star = live.filter(F.col("comp") != F.col("lead.comp")).withColumn("me", F.struct("n", "sketch")).filter(
-            _close(percent, "me", "lead"))
-        pairs = star.select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")).distinct()
-        links, comp = _grow(links, pairs, nodes, sets, percent)
-
-    side = ["sig", "node", "n", "sketch", "comp"]
-    rest = written(_mixed(_with_component(found, comp)).select(*side, "c0", "costly"), "similar-rest")
-    cheap = rest.filter(~F.col("costly"))
-    pairs = _across(cheap.filter(F.col("comp") != F.col("c0")).select(*side), cheap.select(*side), percent)
+    comp = nodes.select("node", F.col("node").alias("component"))
+    live = _mixed(_with_component(found, comp))
+    leads = [F.min(F.struct(F.xxhash64("node", "sig", F.lit(i)).alias("h"), "node", "n", "sketch", "comp")).over(w)
+             for i in range(LEADERS)]
+    star = live.withColumn("leads", F.array(*leads)).select("node", "comp", F.struct("n", "sketch").alias("me"), F.explode("leads").alias("lead"))
+    star = star.filter(F.col("comp") != F.col("lead.comp")).filter(_close(percent, "me", "lead"))
+    pairs = star.select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")).distinct()
+    links, comp = _grow(None, _wide_close(pairs, nodes, percent), sets, percent)
+
+    side = ["sig", "node", "n", "wide", "comp", "whole"]
+    wide = nodes.select("node", "wide")
+    rest = _mixed(_with_component(found.drop("sketch"), comp)).withColumn("k", F.count("*").over(w))
+    rest = written(rest.filter(F.col("costly") | (F.col("k") > 2)).select("sig", "node", "n", "comp", "costly"), "similar-rest")
+    # (a group of two has been compared by the star round)
+    pairs = _across(rest.filter(~F.col("costly")).withColumn("whole", F.lit(True)).join(wide, "node").select(*side), percent)
     again = rest.filter("costly").select("node").distinct()
     second = sets.join(again, "node", "left_semi").mapInArrow(
         _deletion_batches(percent), f"sig bigint, node {kind}, whole boolean")
-    second = _with_component(second.join(nodes.select("node", "n", "sketch"), "node"), comp)
-    second = written(_mixed(second).select(*side, "whole"), "similar-deletion")
-    pairs = pairs.unionByName(_across(second.filter("whole").select(*side), second.select(*side), percent)).distinct()
-    links, comp = _grow(links, pairs, nodes, sets, percent)
+    second = _mixed(_with_component(second.join(nodes.select("node", "n"), "node"), comp))
+    second = written(second.select("sig", "node", "n", "comp", "whole"), "similar-deletion")
+    pairs = pairs.unionByName(_across(second.join(wide, "node").select(*side), percent)).distinct()
+    links, comp = _grow(links, pairs, sets, percent)
     return rows, nodes.join(comp, "node").select("node", "h1", "h2", "component")
 
 
-def _across(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
-    """Close pairs of one bucket from different components."""
-    a, b = left.alias("x"), right.alias("y")
-    joined = a.join(b, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.comp") != F.col("y.comp")) & _close(percent, "x", "y"))
-    return joined.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+def _groups(shared: DataFrame) -> DataFrame:
+    """(sig, h1): buckets with the same members as one, and the buckets of one leader as one where that costs no more."""
+    w = Window.partitionBy("sig")
+    buckets = shared.withColumn("k", F.count("*").over(w)).filter("k > 1")
+    buckets = buckets.withColumn("same", F.bit_xor(F.xxhash64("h1")).over(w)).withColumn("lead", F.min("h1").over(w))
+    buckets = written(buckets.groupBy("same", "h1").agg(F.min("k").alias("k"), F.min("lead").alias("lead")), "similar-buckets")
+    members = buckets.select("lead", "h1").distinct()
+    each = buckets.filter("h1 = lead").groupBy("lead").agg(F.sum(F.col("k") * F.col("k")).alias("cost"))
+    joined = members.groupBy("lead").agg(F.count("*").alias("size")).join(each, "lead").filter(
+        F.col("size") * F.col("size") <= 2 * F.col("cost")).select("lead")
+    joined = written(joined, "similar-leaders")
+    own = buckets.join(joined, "lead", "left_anti").select(F.col("same").alias("sig"), "h1")
+    return members.join(joined, "lead").select(F.col("lead").alias("sig"), "h1").unionByName(own)
+
+
+def _fold(m: np.ndarray, words: int) -> np.ndarray:
+    """Sketches of fewer cells (a power of two of them) from those of more."""
+    while m.shape[1] > words:
+        half = m.shape[1] // 2
+        m = m[:, :half] ^ m[:, half:]
+    return m
+
+
+def close_pairs(n: np.ndarray, wide: list[np.ndarray], apart: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (i, j) of ``apart`` that the sizes and the wide sketches cannot rule out."""
+    i, j = np.nonzero(apart)
+    low, high = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
+    fit = 100 * low >= percent * high
+    i, j = i[fit], j[fit]
+    total = n[i] + n[j]
+    most = total - 2 * -(-percent * total // (100 + percent))
+    words = np.array([len(x) for x in wide])
+    least = np.minimum(words[i], words[j])
+    ok = np.zeros(len(i), bool)
+    for size in np.unique(least).tolist():
+        rows = np.flatnonzero(words >= size)
+        place = np.zeros(len(n), np.int64)
+        place[rows] = np.arange(len(rows))
+        m = np.zeros((len(rows), size), np.uint64)
+        for length in np.unique(words[rows]).tolist():
+            at = np.flatnonzero(words[rows] == length)
+            m[at] = _fold(np.stack([wide[k] for k in rows[at].tolist()]), size)
+        some = np.flatnonzero(least == size)
+        step = max(1, (1 << 19) // size)
+        for lo in range(0, len(some), step):
+            part = some[lo:lo + step]
+            differing = np.bitwise_count(m[place[i[part]]] ^ m[place[j[part]]]).sum(axis=1, dtype=np.int64)
+            ok[part] = differing <= most[part]
+    return i[ok], j[ok]
+
+
+def _block_batches(percent: int):
+    """Close pairs of different components in each (sig, i, j); rows come sorted by it."""
+    names = ["sig", "i", "j", "blk", "node", "n", "comp", "whole"]
+
+    def compare(group: list[tuple], schema: pa.Schema) -> pa.RecordBatch | None:
+        cols = {name: np.array([r[c] for r in group]) for c, name in enumerate(names)}
+        apart = cols["comp"][:, None] != cols["comp"][None, :]
+        apart &= cols["whole"][:, None] | cols["whole"][None, :]
+        if group[0][1] != group[0][2]:
+            apart &= cols["blk"][:, None] != cols["blk"][None, :]
+        apart &= np.triu(np.ones(apart.shape, bool), 1)
+        i, j = close_pairs(cols["n"].astype(np.int64), [r[-1] for r in group], apart, percent)
+        if not len(i):
+            return None
+        a, b = cols["node"][i], cols["node"][j]
+        swap = a > b
+        a, b = np.where(swap, b, a), np.where(swap, a, b)
+        kind = schema.field("node").type
+        return pa.RecordBatch.from_arrays([pa.array(a.tolist(), kind), pa.array(b.tolist(), kind)], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: list[tuple] = []
+        schema = None
+        for batch in batches:
+            schema = batch.schema
+            lists = batch.column("wide")
+            flat, offsets = lists.values.to_numpy().view(np.uint64), lists.offsets.to_numpy().tolist()
+            columns = [batch.column(c).to_pylist() for c in names]
+            for r, row in enumerate(zip(*columns)):
+                if group and row[:3] != group[0][:3]:
+                    out = compare(group, schema)
+                    if out is not None:
+                        yield out
+                    group = []
+                group.append((*row, flat[offsets[r]:offsets[r + 1]]))
+        if group:
+            out = compare(group, schema)
+            if out is not None:
+                yield out
+
+    return run
+
+
+def _across(rows: DataFrame, percent: int) -> DataFrame:
+    """Close pairs (a, b) of one group from different components, one of them ``whole``.
+
+    A group is dealt into blocks of about ``BLOCK`` members; a row goes to the block pairs (i, j) of its block.
+    """
+    kind = rows.schema["node"].dataType.simpleString()
+    blocks = F.ceil(F.count("*").over(Window.partitionBy("sig")) / BLOCK).cast("int")
+    dealt = rows.withColumn("nb", blocks).withColumn("blk", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+    dealt = dealt.withColumn("i", F.least("blk", "other")).withColumn("j", F.greatest("blk", "other")).drop("nb", "other")
+    dealt = dealt.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
+    return dealt.mapInArrow(_block_batches(percent), f"a {kind}, b {kind}").distinct()
 
 
 def _wide_close(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs that the wide sketches cannot rule out either (the narrow ones saturate for long texts)."""
+    """Pairs that the wide sketches cannot rule out either (the narrow ones saturate for long texts).
+
+    Sketches of sets of similar size have as many cells, or one has twice as many and is folded.
+    """
     a = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("wide").alias("wa"))
     b = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("wide").alias("wb"))
-    bits = F.aggregate(F.zip_with("wa", "wb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    def fold(long: str) -> Column:
+        half = F.shiftright(F.size(long), 1)
+        return F.zip_with(F.slice(long, F.lit(1), half), F.slice(long, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+
+    x = F.when(F.size("wa") > F.size("wb"), fold("wa")).otherwise(F.col("wa"))
+    y = F.when(F.size("wb") > F.size("wa"), fold("wb")).otherwise(F.col("wb"))
+    bits = F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, b: t + b)
     total = F.col("na") + F.col("nb")
     return pairs.join(a, "a").join(b, "b").filter(
         bits <= total - 2 * F.ceil(percent * total / F.lit(100 + percent))).select("a", "b")
 
 
-def _grow(links: DataFrame | None, pairs: DataFrame, nodes: DataFrame, sets: DataFrame,
-          percent: int) -> tuple[DataFrame, DataFrame]:
+def _grow(links: DataFrame | None, pairs: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Verify pairs, add them to the links, and find the components again."""
-    new = written(_verified(written(_wide_close(pairs, nodes, percent), "similar-pairs"), sets, percent), "similar-links")
+    new = written(_verified(written(pairs, "similar-pairs"), sets, percent), "similar-links")
     links = new if links is None else links.unionByName(new)
     return links, written(components(links), "similar-components")
 
@@ -367,11 +498,18 @@ def _grow(links: DataFrame | None, pairs: DataFrame, nodes: DataFrame, sets: Dat
 def join(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
     rows, classes = link_classes(docs, k, percent)
-    same = rows.filter("n > 0 and doc_id is not null").groupBy("h1", "h2").agg(F.min("doc_id").alias("first"))
-    comp = same.join(classes.select("h1", "h2", "component"), ["h1", "h2"], "left").select(
-        "h1", "h2", F.coalesce("component", "first").alias("component_id"))
-    linked = rows.filter("n > 0").join(comp, ["h1", "h2"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+    found = rows.filter("n > 0")
+    comp = found.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.count("*").alias("c")).join(
+        classes.select("h1", "h2", "component"), ["h1", "h2"], "left")
+    comp = written(comp.select("h1", "h2", "c", F.coalesce("component", "first").alias("component_id")), "similar-classes-found")
+    # classes with a thousandth of the rows or more are at most that many: they are joined on the map side
+    total = comp.agg(F.sum("c")).first()[0] or 0
+    heavy = comp.filter((F.col("c") > 1) & (F.col("c") * HEAVY_SHARE >= total)).select("h1", "h2", F.col("component_id").alias("large"))
+    split = found.join(F.broadcast(heavy), ["h1", "h2"], "left")
+    linked = split.filter("large is not null").withColumnRenamed("large", "component_id").unionByName(
+        split.filter("large is null").drop("large").join(comp.drop("c"), ["h1", "h2"], "left"))
+    linked = linked.select("doc_id", F.col("n").alias("n_shingles"),
+                           F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
     alone = rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone)
 

@@ -278,7 +278,7 @@ def test_join_finds_every_component(spark, n, length, edits, k, percent):
 
 def test_join_of_costly_buckets(spark, monkeypatch):
     """All pairs left to the exhaustive step, with buckets large enough for the deletion index."""
-    monkeypatch.setattr(similar, "STAR_ROUNDS", 1)
+    monkeypatch.setattr(similar, "LEADERS", 1)
     monkeypatch.setattr(similar, "COMPARISON_COST", 1)
     rows = mesh(150, 16, 3, 5)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
