@@ -12,9 +12,10 @@ range partitions, rows are sorted inside). ``start`` is file_start plus the
 ids of all earlier files: one total per file is summed, never the rows.
 
 Encoding runs the tokenizers library over whole texts. Some vocabularies
-encode every white-space separated chunk on its own (``_word_rule``); there a
-bounded per-worker cache keeps the ids of chunks seen before and only new
-chunks go through the library. Other vocabularies encode each text as one.
+encode every piece of every white-space separated chunk on its own (``_word_rule``); there
+a block of texts is cut into pieces with array operations, each distinct piece
+is looked up once in a bounded per-worker cache, and only new pieces go through the library (chunks with
+other characters than ASCII and Latin-1 letters go through it whole). Other vocabularies encode each text as one.
 The ids are the same either way (tests compare both).
 
 Defined cases: null text counts as empty and gives only the end id; null
@@ -25,9 +26,8 @@ empty table gives an empty result; extra columns are ignored.
 from __future__ import annotations
 
 import json
-import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlake.llm.common import bounded_broadcast, small_arrow_batches, text_of
+from feedlake.llm.words import blocks, mix, span_hashes
 from feedlake.session import scratch_path
 
 END_ID = 1
@@ -52,10 +53,92 @@ WRITE_OPTIONS = {
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"
 
-#: Chunks whose split and lower-casing are plain: ASCII and the Latin-1 letters, all NFC-stable.
-_PLAIN = re.compile("[\x00-\x7fÀ-ÖØ-öø-ÿ]*")
-_PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
-CHUNK_CACHE, PIECE_CACHE, JOINED = 300_000, 600_000, 64
+PIECE_CACHE, CHUNK_CACHE, JOINED = 400_000, 50_000, 256
+BLOCK_BYTES = 1 << 20
+
+#: Classes of lower-case bytes: white space, letters, digits, others.
+_SPACE, _LETTER, _DIGIT, _OTHER = 0, 1, 2, 3
+_CLASS = np.full(256, _OTHER, np.int8)
+_CLASS[[9, 10, 11, 12, 13, 32]] = _SPACE
+_CLASS[ord("a"):ord("z") + 1] = _LETTER
+_CLASS[ord("0"):ord("9") + 1] = _DIGIT
+#: Second bytes (after C3) of the Latin-1 letters, and of those in upper case.
+_LATIN, _LATIN_UPPER = np.zeros(256, bool), np.zeros(256, bool)
+_LATIN[0x80:0xC0] = True
+_LATIN_UPPER[0x80:0x9F] = True
+_LATIN[[0x97, 0xB7]] = _LATIN_UPPER[0x97] = False
+
+
+class Cache:
+    """Ids by key, bounded: a full generation is kept until the next is full, so keys in use are not learned again."""
+
+    def __init__(self, size: int):
+        self.size, self.new, self.old = size, {}, {}
+
+    def ids(self, keys: list[bytes], learn: Callable[[list[bytes]], list[bytes]]) -> list[bytes]:
+        missing = set(keys).difference(self.new)
+        if len(self.new) + len(missing) > self.size:
+            self.old, self.new, missing = self.new, {}, set(keys)
+        if self.old:
+            kept = missing.intersection(self.old)
+            self.new.update(zip(kept, map(self.old.__getitem__, kept)))
+            missing -= kept
+        if missing:
+            keys_in_order = list(missing)
+            self.new.update(zip(keys_in_order, learn(keys_in_order)))
+        return list(map(self.new.__getitem__, keys))
+
+
+def split_units(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, starts, ends, plain) of the units of a block of text that ends in white space.
+
+    Plain chunks (ASCII and the Latin-1 letters, all NFC-stable, without the special token's opening) are lower-cased and cut into the
+    pieces of ``WORD_PATTERN``; any other white-space separated chunk is one unit as it stands.
+    """
+    low = raw + (((raw >= 65) & (raw <= 90)) * np.uint8(32))
+    kind = _CLASS[low]
+    strange = np.zeros(len(raw), bool)
+    high = np.flatnonzero(raw >= 0x80)
+    if len(high):
+        strange[high] = True
+        lead = high[raw[high] == 0xC3]
+        lead = lead[_LATIN[raw[lead + 1]]]
+        strange[lead] = strange[lead + 1] = False
+        kind[lead] = kind[lead + 1] = _LETTER
+        low[lead + 1] += _LATIN_UPPER[raw[lead + 1]] * np.uint8(32)
+    strange[:-1] |= (raw[:-1] == ord("<")) & (raw[1:] == ord("|"))
+    inside = kind != _SPACE
+    change = np.concatenate(([True], kind[1:] != kind[:-1]))
+    cut = inside & (change | (kind == _DIGIT))
+    edge = np.flatnonzero(np.concatenate(([inside[0]], inside[1:] != inside[:-1])))
+    starts, ends = edge[::2], edge[1::2]
+    # contractions: an apostrophe alone between pieces takes the letters after it along
+    mark = np.flatnonzero((raw == ord("'")) & cut)
+    mark = mark[kind[mark + 1] == _LETTER]
+    one, two = low[mark + 1], low[np.minimum(mark + 2, len(low) - 1)]
+    taken = np.isin(one, np.frombuffer(b"stmd", np.uint8)).astype(np.int64)
+    for pair in (b"re", b"ve", b"ll"):
+        taken[(one == pair[0]) & (two == pair[1])] = 2
+    mark, taken = mark[taken > 0], taken[taken > 0]
+    cut[mark + 1] = False
+    after = mark + 1 + taken
+    cut[after] |= inside[after]
+    # strange chunks stay whole
+    odd = np.flatnonzero(np.add.reduceat(strange, starts)) if len(starts) else starts
+    if len(odd):
+        step = np.zeros(len(raw) + 1, np.int8)
+        step[starts[odd]] = 1
+        step[ends[odd]] -= 1
+        within = np.cumsum(step[:-1], dtype=np.int8) > 0
+        cut &= ~within
+        cut[starts[odd]] = True
+        low[within] = raw[within]
+    first = np.flatnonzero(cut)
+    chunk = np.searchsorted(starts, first, side="right") - 1
+    last = np.minimum(np.concatenate((first[1:], [len(raw)])), ends[chunk]) if len(first) else first
+    plain = np.ones(len(starts), bool)
+    plain[odd] = False
+    return low, first, last, plain[chunk] if len(first) else np.ones(0, bool)
 
 
 class Encoder:
@@ -69,8 +152,7 @@ class Encoder:
         self.lib.no_truncation()
         with open(path, encoding="utf-8") as f:
             self.by_word = self._word_rule(json.load(f))
-        self.chunks: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.pieces, self.chunks = Cache(PIECE_CACHE), Cache(CHUNK_CACHE)
 
     def _word_rule(self, spec: dict) -> bool:
         """True if the file's rules never join or merge anything across white space."""
@@ -85,7 +167,7 @@ class Encoder:
         self.ends[[i for t, i in vocab.items() if t.endswith(WORD_END)]] = True
         self.mark = "<|endoftext|>"
         self.mark_id = vocab.get(self.mark)
-        return self.mark_id is not None
+        return self.mark_id is not None and len(self.ends) < 1 << 24
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
@@ -109,41 +191,49 @@ class Encoder:
                 out += [raw[4 * a:4 * b] for a, b in zip(start.tolist(), stop.tolist())]
         return out
 
-    def _learn(self, new: list[bytes]) -> None:
-        if len(self.chunks) + len(new) > CHUNK_CACHE:
-            self.chunks.clear()
-        if len(self.pieces) > PIECE_CACHE:
-            self.pieces.clear()
-        plain: dict[bytes, list[str]] = {}
-        odd: list[bytes] = []
-        marked: list[bytes] = []
-        for w in new:
-            s = w.decode("utf-8", "replace")
-            if "<|" in s:
-                marked.append(w)
-            elif _PLAIN.fullmatch(s):
-                plain[w] = _PIECE.findall(s.lower())
-            else:
-                odd.append(w)
-        pieces = self.pieces
-        unseen = list({p for ps in plain.values() for p in ps if p not in pieces})
-        pieces.update(zip(unseen, self._joined(unseen, " ")))
-        for w, ps in plain.items():
-            self.chunks[w] = pieces[ps[0]] if len(ps) == 1 else b"".join([pieces[p] for p in ps])
-        self.chunks.update(zip(odd, self._joined([w.decode("utf-8", "replace") for w in odd], self.mark)))
-        self.chunks.update(zip(marked, self._whole([w.decode("utf-8", "replace") for w in marked])))
+    def _piece_ids(self, pieces: list[bytes]) -> list[bytes]:
+        return self._joined([p.decode() for p in pieces], " ")
+
+    def _strange_ids(self, chunks: list[bytes]) -> list[bytes]:
+        strings = [c.decode("utf-8", "replace") for c in chunks]
+        marked = ["<|" in s for s in strings]
+        alone = iter(self._whole([s for s, m in zip(strings, marked) if m]))
+        rest = iter(self._joined([s for s, m in zip(strings, marked) if not m], self.mark))
+        return [next(alone if m else rest) for m in marked]
+
+    def _block(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of a block of texts: each distinct unit is looked up once, its ids are copied to all places by index."""
+        data, starts, ends, plain = split_units(np.frombuffer(b" ".join(texts) + b" ", np.uint8))
+        lengths = ends - starts
+        h = mix(span_hashes(data, starts, ends) + plain.astype(np.uint64))
+        _, first, which = np.unique(h, return_index=True, return_inverse=True)
+        # are equal hashes equal units? compared byte by byte; after a collision every unit is looked up
+        same = (lengths == lengths[first][which]).all() and (plain == plain[first][which]).all()
+        if same:
+            at = np.arange(int(lengths.sum())) + np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
+            same = (data[at] == data[at + np.repeat(starts[first][which] - starts, lengths)]).all()
+        if not same:
+            first = which = np.arange(len(h))
+        raw = data.tobytes()
+        keys = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+        kinds = plain[first]
+        ids = np.empty(len(keys), object)
+        for kind, cache, learn in ((True, self.pieces, self._piece_ids), (False, self.chunks, self._strange_ids)):
+            places = np.flatnonzero(kinds == kind)
+            ids[places] = cache.ids([keys[i] for i in places.tolist()], learn)
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        values, offsets = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
+        n = size[which]
+        stops = np.cumsum(n)
+        out = values[np.repeat(offsets[which] - (stops - n), n) + np.arange(int(stops[-1]) if len(n) else 0)].tobytes()
+        owner = np.searchsorted(np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1), starts, side="right")
+        bounds = 4 * np.concatenate(([0], np.cumsum(np.bincount(owner, n, len(texts)).astype(np.int64))))
+        return [out[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_word:
             return self._whole([t.decode("utf-8", "replace") for t in texts])
-        words = [t.split() for t in texts]  # bytes.split() parts at ASCII white space only
-        known = self.chunks
-        new = {w for ws in words for w in ws if w not in known}
-        if new:
-            if len(known) + len(new) > CHUNK_CACHE:  # the cache starts anew: learn all of this batch
-                new = {w for ws in words for w in ws}
-            self._learn(list(new))
-        return [b"".join([known[w] for w in ws]) for ws in words]
+        return [ids for lo, hi in blocks(texts, BLOCK_BYTES) for ids in self._block(texts[lo:hi])]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -156,26 +246,30 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def _encode_batches(path: str, end_id: int, step: int = 256):
+def _encode_batches(path: str, end_id: int, step: int = 1000):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import gc
 
-        gc.disable()  # the caches hold no cycles, and scanning them is most of a collection
         enc, total = encoder(path), 0
         end = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
-            for at in range(0, batch.num_rows, step):
-                part = batch.slice(at, step)
-                ids = [x + end for x in enc.encode(part.column("text").cast(pa.binary()).to_pylist())]
-                n = np.array([len(x) // 4 for x in ids], np.int64)
-                offsets = np.concatenate(([0], np.cumsum(n)))
-                values = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(ids))])
-                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(n), pa.array(total + offsets[:-1]), lists],
-                    ["doc_id", "n_tokens", "file_start", "ids"])
-                total += int(offsets[-1])
-        gc.enable()
+        collected = gc.isenabled()
+        gc.disable()  # the caches hold no cycles, and scanning them is most of a collection
+        try:
+            for batch in batches:
+                for at in range(0, batch.num_rows, step):
+                    part = batch.slice(at, step)
+                    ids = [x + end for x in enc.encode(part.column("text").cast(pa.binary()).to_pylist())]
+                    n = np.array([len(x) // 4 for x in ids], np.int64)
+                    offsets = np.concatenate(([0], np.cumsum(n)))
+                    values = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(ids))])
+                    lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("doc_id"), pa.array(n), pa.array(total + offsets[:-1]), lists],
+                        ["doc_id", "n_tokens", "file_start", "ids"])
+                    total += int(offsets[-1])
+        finally:  # also when the task is cancelled: the worker is used again
+            if collected:
+                gc.enable()
 
     return run
 

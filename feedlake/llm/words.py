@@ -49,6 +49,14 @@ def blocks(texts: list[bytes], size: int = BLOCK_BYTES) -> Iterator[tuple[int, i
         yield start, len(texts)
 
 
+def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of the bytes of each span (a rolling sum, so the cost does not grow with their length)."""
+    power, inverse = _powers(len(raw))
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * power[:len(raw)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+
+
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words (runs of other than ASCII white space, A-Z lower-cased) and each word's text index."""
     raw = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
@@ -59,10 +67,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     starts, ends = edge[::2], edge[1::2]
     if not len(starts):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    power, inverse = _powers(len(raw))
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum((_LOWER[raw].astype(np.uint64) + np.uint64(1)) * power[:len(raw)], out=sums[1:])
-    h = mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    h = span_hashes(_LOWER[raw], starts, ends)
     lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
     return h, np.searchsorted(np.cumsum(lengths), starts, side="right")
 

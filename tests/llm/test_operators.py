@@ -61,6 +61,25 @@ def test_small_caches_change_nothing(monkeypatch, documents, vocabulary):
         assert enc.encode([r.text.encode()])[0] == np.array(enc.lib.encode(r.text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def test_pieces_of_odd_strings(vocabulary):
+    """Contractions, apostrophes, digits, Latin-1 letters, other scripts, special tokens, control characters in any order."""
+    import random
+
+    enc, rng = tokens.Encoder(vocabulary), random.Random(4)
+    parts = ["a", "B", "s", "t", "re", "ve", "ll", "m", "d", "'", "'", "'s", "’", ".", ",", "1", "23", "É", "ß", "×", "÷", "ÿ", "漢", "é",
+             "<|", "<|endoftext|>", "|>", " ", " ", "\t", "\n", "\x0b", "İ", "\x00", "\x1c", "½", "ǅ", "Σ", "ς", "힣", "e\u0301"]
+    for _ in range(2000):
+        x = "".join(rng.choice(parts) for _ in range(rng.randint(0, 25)))
+        want = np.array(enc.lib.encode(x, add_special_tokens=False).ids, "<u4").tobytes()
+        assert enc.encode([x.encode(), b"", x.encode()]) == [want, b"", want], x
+
+
+def test_colliding_hashes_change_nothing(monkeypatch, vocabulary):
+    monkeypatch.setattr(tokens, "span_hashes", lambda raw, starts, ends: (ends - starts).astype(np.uint64))
+    enc, x = tokens.Encoder(vocabulary), "Some words, some others; it's 12 ways."
+    assert enc.encode([x.encode()]) == [np.array(enc.lib.encode(x, add_special_tokens=False).ids, "<u4").tobytes()]
+
+
 def test_token_files(spark, documents, vocabulary, tmp_path):
     out = str(tmp_path / "ids")
     tokens.write_tokens(documents, vocabulary, out)
