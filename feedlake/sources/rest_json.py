@@ -6,6 +6,7 @@
         .option("mode", "sequential")                   # sequential | threaded | async
         .option("total_pages", "12")                    # threaded: given by the caller
         .option("partitions", "64")                     # at most so many input partitions
+        .option("in_flight", "5")                       # async, threaded: open requests of a partition
         .option("on_error", "fail")                     # fail | drop
         .load()
 
@@ -18,8 +19,9 @@ sequential / async: the first page is the bare URL and reports
 request) and carried into the first partition, so it is never fetched twice.
 If it fails, the read fails, whatever ``on_error`` says: without it the number
 of pages is unknown. Pages 2..N are split into at most ``partitions`` ranges
-that executors fetch in parallel; page order is the ``page`` column, not
-arrival order. Rows leave one by one.
+that executors fetch in parallel; within a range, async and threaded modes keep up to
+``in_flight`` requests open and pass rows on in page order. Across ranges page order is the
+``page`` column, not arrival order.
 threaded: URLs ``?page=1..N`` with N from the option; failed pages are
 dropped (``on_error=drop``, the client's behaviour) or fail the read.
 429 answers are waited for without bound unless ``max_429`` is given; a page
@@ -31,6 +33,8 @@ shown by ``explain`` (options are not printed by the scan node).
 from __future__ import annotations
 
 import json
+from collections import deque
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,6 +72,7 @@ class RestJsonReader(DataSourceReader):
             raise ValueError(f"unknown on_error {self.on_error!r}")
         self.partition_count = max(1, int(options.get("partitions", "64")))
         self.total = options.get("total_pages")
+        self.in_flight = max(1, int(options.get("in_flight", "5")))
         self.quota = int(options["quota_per_partition"]) if options.get("quota_per_partition") else None
         self.max_429 = int(options["max_429"]) if options.get("max_429") else None
 
@@ -95,9 +100,23 @@ class RestJsonReader(DataSourceReader):
             parts.insert(0, PagePartition(0, 0, first))
         return parts or [PagePartition(0, 0)]
 
-    def read(self, partition: PagePartition):
+    def _pages(self, pages: range):
+        """Rows of the pages in their order; async and threaded modes keep at most ``in_flight`` requests open."""
         limiter = tp.Limiter(self.quota)
-        rows = (self._fetch(p, limiter) for p in range(partition.start, partition.stop))
+        if self.mode == "sequential" or self.in_flight == 1 or len(pages) < 2:
+            yield from (self._fetch(p, limiter) for p in pages)
+            return
+        with ThreadPoolExecutor(min(self.in_flight, len(pages))) as pool:
+            waiting = deque()
+            for p in pages:
+                waiting.append(pool.submit(self._fetch, p, limiter))
+                if len(waiting) == self.in_flight:
+                    yield waiting.popleft().result()
+            while waiting:
+                yield waiting.popleft().result()
+
+    def read(self, partition: PagePartition):
+        rows = self._pages(range(partition.start, partition.stop))
         for r in [partition.first] if partition.first is not None else rows:
             if r is not None:
                 yield (r["page"], r["http_status"], r["status"], r["attempts"], r["error"], r["payload"])

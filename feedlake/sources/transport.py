@@ -15,7 +15,7 @@ Transports (picklable config dicts, built on the executor):
 Retry loop (``retry.py`` documents the same rules as column expressions):
   page policy    429 waits Retry-After (default 5 s) and asks again, without
                  bound unless ``max_429`` is given;
-                 >= 500 / no response retried up to 3 tries with capped backoff;
+                 >= 500 / no response retried up to 3 tries with capped, jittered backoff;
                  other 4xx fail at once.
   entity policy  429 -> one retry after Retry-After (default 60 s); else fail.
 Every attempt, retries included, goes through the task's rate limiter and is
@@ -27,7 +27,9 @@ from __future__ import annotations
 import hashlib
 import http.client
 import json
+import random
 import re
+import threading
 import time
 import urllib.error
 import urllib.request
@@ -53,10 +55,15 @@ class Limiter:
         floor = float("-inf") if not_before is None else not_before - window_s
         self.admitted = None if limit is None else [floor] * limit
         self.n = 0
+        self.lock = threading.Lock()
 
     def acquire(self) -> None:
         if self.admitted is None:
             return
+        with self.lock:  # calls of one task leave in turn
+            self._acquire()
+
+    def _acquire(self) -> None:
         slot = self.n % len(self.admitted)
         now, due = self.clock(), self.admitted[slot] + self.window
         if due > now:
@@ -129,8 +136,12 @@ def _after(header, default: int) -> int:
 
 
 def fetch(conf: dict, url: str, limiter: Limiter, policy: str = "page", max_429: int | None = None,
-          sleep=time.sleep) -> dict:
-    """One request with the retry loop -> landing fields."""
+          sleep=time.sleep, jitter=random.SystemRandom().random) -> dict:
+    """One request with the retry loop -> landing fields.
+
+    ``jitter`` gives 0 to 1 s more for each wait after a fault. It draws from the system: workers
+    forked from one process would draw the same numbers from a seeded generator.
+    """
     if policy not in ("page", "entity"):
         raise ValueError(f"unknown retry policy {policy!r}")
     attempts, failures, throttled = 0, 0, 0
@@ -151,7 +162,7 @@ def fetch(conf: dict, url: str, limiter: Limiter, policy: str = "page", max_429:
         elif policy == "page" and (status is None or status >= 500):
             failures += 1
             if failures < rp.PAGE_ATTEMPTS:
-                sleep(min(rp.PAGE_INITIAL_S * 2 ** (failures - 1), rp.PAGE_MAX_WAIT_S))
+                sleep(min(rp.PAGE_INITIAL_S * 2 ** (failures - 1) + jitter(), rp.PAGE_MAX_WAIT_S))
                 continue
         try:
             msg = json.loads(body).get("message") if body else None
