@@ -2,9 +2,9 @@
 
 A page is parsed into a flat element table (parents before children).
 Elements that never hold article text (scripts, menus, forms, notices, ...)
-are left out with all they contain, but an element is not left out for its
-class, id or role if it holds the article itself. Every block with text gets points for its
-length and commas and passes them to its ancestors, less with each level.
+are left out with all they contain, but a form, or an element that is left out for its
+class, id or role, stays if it holds the article itself. Every block with text gets points for its
+length and commas and passes them to its nearest ``LEVELS`` ancestors, less with each level.
 A container's points are discounted by its link density. The best container
 and those of its siblings that look like the same article are kept; inside an
 ``article`` element the whole element counts as the container. The kept text
@@ -13,7 +13,8 @@ is written block by block in page order.
 Rows are parsed one by one in Arrow batches; nothing is held beyond a batch.
 
 Defined cases: null or empty html, and pages without text, give the empty
-text and 0; unclosed or stray tags are accepted as browsers do; repeated rows
+text and 0; unclosed or stray tags are accepted as browsers do, a tag that meets ``<`` outside of quotes before its end is text;
+very long pages, deep nesting and unclosed quotes take time in proportion to the page's length; repeated rows
 give repeated results; an empty table gives an empty result; extra columns
 are ignored.
 """
@@ -38,7 +39,7 @@ BLOCK = frozenset(
     "footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section "
     "summary table tbody td tfoot th thead tr ul".split())
 LEFT_OUT = frozenset(
-    "head nav footer aside form button select option datalist dialog menu svg math object canvas audio video map "
+    "head nav footer aside button select option datalist dialog menu svg math object canvas audio video map "
     "search".split()) | RAW
 #: A start tag closes an open element of these kinds (nearest one inside the given scope).
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -47,6 +48,8 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 SCOPES = frozenset("ul ol dl table select body html article div".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 BONUS = {"article": 25.0, "main": 15.0, "section": 5.0, "div": 5.0, "blockquote": 3.0, "pre": 3.0, "td": 3.0}
+#: Levels of ancestors that a block pays points to (the last ones get about a hundredth).
+LEVELS = 32
 #: Fixed value: share of an element's text from which articles outside of it are the page's article.
 BESIDE = 0.2
 
@@ -59,7 +62,9 @@ _AWAY = re.compile(
     r"(?:$|[\s_-])", re.I)
 _NAMES = ("class", "id", "role")
 _KEEP_TAGS = frozenset(("html", "body", "article", "main"))
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>|<([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|[^<]+|<""", re.S)
+_TOKEN = re.compile(
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|</([a-zA-Z][^\s/<>]*+)[^<>]*+>?"""
+    r"""|<([a-zA-Z][^\s/<>]*+)((?:[^<>"']++|"[^"]*+"|'[^']*+')*+)>|[^<]++|<""", re.S)
 _ATTR = re.compile(r"""([^\s/>=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
@@ -103,46 +108,63 @@ class _Page:
         return n
 
 
+class _Stack:
+    """Open elements, with the places of each name and of the blocks, so the nearest one is found without a walk."""
+
+    def __init__(self, tags: list[str]) -> None:
+        self.tags, self.open, self.blocks = tags, [0], []
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, node: int) -> None:
+        name = self.tags[node]
+        self.places.setdefault(name, []).append(len(self.open))
+        if name in BLOCK:
+            self.blocks.append(len(self.open))
+        self.open.append(node)
+
+    def nearest(self, names) -> int:
+        """Place of the nearest open element with one of the names (0: none)."""
+        return max((self.places[t][-1] for t in names if self.places.get(t)), default=0)
+
+    def cut(self, place: int) -> bool:
+        """Close all elements from ``place`` on; true if a block was among them."""
+        for node in reversed(self.open[place:]):
+            self.places[self.tags[node]].pop()
+        del self.open[place:]
+        block = bool(self.blocks) and self.blocks[-1] >= place
+        while self.blocks and self.blocks[-1] >= place:
+            self.blocks.pop()
+        return block
+
+
 def _parse(html: str) -> _Page:
-    page, stack, at, end = _Page(), [0], 0, len(html)
+    page, at, end = _Page(), 0, len(html)
     tags, out = page.tag, page.out
+    stack = _Stack(tags)
     while at < end:
         m = _TOKEN.match(html, at)
         at = m.end()
         closing, tag, attrs = m.group(1, 2, 3)
         if closing is not None:
             closing = closing.lower()
-            for i in range(len(stack) - 1, 0, -1):
-                if tags[stack[i]] == closing:
-                    if any(tags[x] in BLOCK for x in stack[i:]):
-                        out.append(None)
-                    del stack[i:]
-                    break
-            else:
-                if closing in BLOCK:
-                    out.append(None)
+            place = stack.nearest((closing,))
+            if (stack.cut(place) if place else closing in BLOCK):
+                out.append(None)
         elif tag is not None:
             tag = tag.lower()
             if tag == "br":
-                out.append((stack[-1], " "))
+                out.append((stack.open[-1], " "))
                 continue
             if tag in BLOCK:
                 out.append(None)
-                for i in range(len(stack) - 1, 0, -1):  # a block ends an open paragraph
-                    t = tags[stack[i]]
-                    if t == "p":
-                        del stack[i:]
-                        break
-                    if t in BLOCK:
-                        break
+                if stack.blocks and tags[stack.open[stack.blocks[-1]]] == "p":  # a block ends an open paragraph
+                    stack.cut(stack.blocks[-1])
             if tag in CLOSES:
-                for i in range(len(stack) - 1, 0, -1):
-                    t = tags[stack[i]]
-                    if t in CLOSES[tag]:
-                        del stack[i:]
-                        if t == tag:
-                            break
-                    elif t in SCOPES:
+                scope = stack.nearest(SCOPES)
+                while (place := stack.nearest(CLOSES[tag])) > scope:
+                    last = tags[stack.open[place]] == tag
+                    stack.cut(place)
+                    if last:
                         break
             if tag in VOID:
                 continue
@@ -152,32 +174,25 @@ def _parse(html: str) -> _Page:
                 close = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(html, at)
                 at = close.end() if close else end
                 continue
-            stack.append(page.add(tag, stack[-1], away))
+            node = page.add(tag, stack.open[-1], away)
+            stack.push(node)
             if _is_header(tag, values):
-                page.headers.append(stack[-1])
-            if _is_named_away(tag, values):
-                page.named.append(stack[-1])
-            if attrs.endswith("/") and tag not in BLOCK and tag in ("svg", "math"):
-                stack.pop()
+                page.headers.append(node)
+            if tag == "form" or _is_named_away(tag, values):
+                page.named.append(node)
+            if attrs.endswith("/") and tag in ("svg", "math"):
+                stack.cut(len(stack.open) - 1)
         else:
             text = m.group()
             if text[0] != "<" or text == "<":
-                node = stack[-1]
+                node = stack.open[-1]
                 if not page.away[node]:
                     out.append((node, text))
     return page
 
 
-def _header_of_article(page: _Page, node: int) -> bool:
-    while node:
-        node = page.parent[node]
-        if page.tag[node] in ("article", "main"):
-            return True
-    return False
-
-
 def _leave_out_named(page: _Page) -> None:
-    """Leave out what its class, id or role says, but not what is the article itself.
+    """Leave out forms and what its class, id or role says, but not what is the article itself.
 
     An element stays if it holds an article or main element and none stands outside, or if it holds most of the
     page's unlinked text, unless article elements outside hold a good part (``BESIDE``) of as much.
@@ -227,8 +242,11 @@ def main_text(html: str | None) -> str:
     page = _parse(html)
     n, parent, tags = len(page.tag), page.parent, page.tag
     away = page.away
+    in_article = [False] * n
+    for i in range(1, n):
+        in_article[i] = tags[parent[i]] in ("article", "main") or in_article[parent[i]]
     for i in page.headers:  # a page's header is left out, an article's own header stays
-        away[i] = away[i] or not _header_of_article(page, i)
+        away[i] = away[i] or not in_article[i]
     for i in range(1, n):
         away[i] = away[i] or away[parent[i]]
     if page.named:
@@ -249,7 +267,7 @@ def main_text(html: str | None) -> str:
             up, level = parent[i], 1
             if i == 0 or tags[i] in BONUS:  # text that stands in a container itself
                 points[i] += own
-            while own > 0 and i:
+            while own > 0 and i and level <= LEVELS:
                 points[up] += own / (1 if level == 1 else 2 if level == 2 else 3 * level)
                 if up == 0:
                     break
