@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedlake.llm.common import text_of, written
+from feedlake.llm.common import bounded_broadcast, text_of, written
 
 SHARDS = 16
 CELL_ROWS = 2_000
@@ -35,14 +35,20 @@ def _unit(key: Column, salt: str) -> Column:
     return (F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") + 0.5) / F.lit(float(2**48))
 
 
-def rendezvous(key: Column, weights: Sequence[float]) -> Column:
-    """Shard of ``key``: the index of the largest weight / -ln(u); the smaller index on a tie."""
+def _score(key: Column, weight: float, i: int) -> Column:
+    return F.struct((F.lit(float(weight)) / -F.log(_unit(key, f"shard{i}"))).alias("score"), F.lit(-i).alias("i"))
+
+
+def _best(key: Column, weights: Sequence[float]) -> Column:
     if not weights or any(w <= 0 for w in weights):
         raise ValueError("weights must be positive and not empty")
     key = F.coalesce(key.cast("string"), F.lit("null"))
-    scored = [F.struct((F.lit(float(w)) / -F.log(_unit(key, f"shard{i}"))).alias("score"), F.lit(-i).alias("i"))
-              for i, w in enumerate(weights)]
-    return -(F.array_max(F.array(*scored))["i"])
+    return F.array_max(F.array(*[_score(key, w, i) for i, w in enumerate(weights)]))
+
+
+def rendezvous(key: Column, weights: Sequence[float]) -> Column:
+    """Shard of ``key``: the index of the largest weight / -ln(u); the smaller index on a tie."""
+    return -(_best(key, weights)["i"])
 
 
 def assign(df: DataFrame, key: str, weights: Sequence[float], grown: Sequence[float] | None = None,
@@ -50,7 +56,8 @@ def assign(df: DataFrame, key: str, weights: Sequence[float], grown: Sequence[fl
     """Add ``shard``, ``slot`` and, if ``grown`` weights are given, ``grown_shard``.
 
     Slots follow (cell, key, ``tie`` columns). ``tie`` columns also help to deal
-    rows with equal keys to different cells.
+    rows with equal keys to different cells; a group of equal rows larger than a cell is dealt to parts by row number
+    (``df`` is a stored table: it is read twice).
     """
     n = df.count()
     cells = max(1, -(-n // (len(weights) * cell_rows)))
@@ -58,17 +65,28 @@ def assign(df: DataFrame, key: str, weights: Sequence[float], grown: Sequence[fl
                          *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in tie])
     cell = F.pmod(F.conv(F.substring(F.md5(F.concat(spread, F.lit("|cell")).cast("binary")), 1, 12), 16, 10)
                   .cast("bigint"), F.lit(cells))
-    out = df.drop("shard", "slot", "grown_shard", "_cell").withColumn("shard", rendezvous(F.col(key), weights))
+    out = df.drop("shard", "slot", "grown_shard", "_cell").withColumn("_best", _best(F.col(key), weights))
+    out = out.withColumn("_number", F.monotonically_increasing_id())  # of the stored input, the same each time it is read
+    out = out.withColumn("shard", -F.col("_best.i"))
     if grown is not None:
-        out = out.withColumn("grown_shard", rendezvous(F.col(key), grown))
-    out = out.withColumn("_cell", cell)
-    sizes = out.groupBy("shard", "_cell").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("shard").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("shard", "_cell", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy("shard", "_cell").orderBy(key, *tie)
+        if list(grown[:-1]) != list(weights):
+            raise ValueError("grown weights are the weights and one more")
+        name = F.coalesce(F.col(key).cast("string"), F.lit("null"))  # only the new shard can win the row
+        out = out.withColumn("grown_shard", -F.greatest(F.col("_best"), _score(name, grown[-1], len(weights)))["i"])
+    out = out.drop("_best").withColumn("_cell", cell).withColumn("_spread", spread)
+    # rows with one key and one tie beyond a cell's size (at most n / cell_rows such groups) are dealt to cells of their own
+    hot = out.groupBy("_spread").agg(F.count("*").alias("_rows")).filter(F.col("_rows") > cell_rows)
+    hot = hot.select("_spread", F.ceil(F.col("_rows") / cell_rows).cast("int").alias("_parts"))
+    out = out.join(bounded_broadcast(written(hot, "shard-hot")), "_spread", "left").drop("_spread")
+    part = F.when(F.col("_parts").isNull(), 0).otherwise(1 + F.pmod(F.col("_number"), F.col("_parts")).cast("int"))
+    out = out.withColumn("_part", part).drop("_parts", "_number")
+    sizes = out.groupBy("shard", "_cell", "_part").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy("shard").orderBy("_cell", "_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("shard", "_cell", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy("shard", "_cell", "_part").orderBy(key, *tie)
     ranked = out.withColumn("slot", F.row_number().over(inside).cast("bigint") - 1)
-    return (ranked.join(offsets, ["shard", "_cell"])
-            .withColumn("slot", F.col("slot") + F.col("_offset")).drop("_cell", "_offset"))
+    return (ranked.join(offsets, ["shard", "_cell", "_part"])
+            .withColumn("slot", F.col("slot") + F.col("_offset")).drop("_cell", "_part", "_offset"))
 
 
 def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
