@@ -407,6 +407,39 @@ def test_extract(spark, sf):
     assert html_text.extract(odd.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("shape", [
+    "<a '" * 250_000, "<!" * 400_000, "<b>" * 5000 + "</i>" * 200_000, "</a" * 300_000, "<a \"<b '" * 120_000,
+    "".join(f"<div>text {i}, here" for i in range(30_000)), "<p><div>" + "<b>" * 5000 + "<hr>" * 150_000,
+    "<b>" * 5000 + "<tr></tr>" * 100_000, "<thead>" * 5000 + "<li></li>" * 100_000, "<header>" * 100_000 + "x"])
+def test_hostile_pages_take_linear_time(shape):
+    import time
+
+    def took(html):
+        t = time.process_time()
+        html_text.main_text(html)
+        return time.process_time() - t
+
+    assert took(shape) < 12
+
+
+def test_a_page_inside_one_form():
+    text = "The article has words, and a comma. " * 9
+    page = f"<body><form action=x><div><p>{text}</p><input value=a><button>Go</button></div></form></body>"
+    assert html_text.main_text(page) == text.strip()
+    page = f"<body><div><p>{text}</p></div><form><p>Your name, please, and mail</p></form></body>"
+    assert html_text.main_text(page) == text.strip()
+
+
+def test_tags_as_browsers_read_them():
+    assert html_text.main_text('<p title="a < b > c">one</p><p>2 < 3 and 4 > 1</p>') == "one\n2 < 3 and 4 > 1"
+    assert html_text.main_text("<article><ul><li>a<li>b</ul><p>c<p>d<div>e</b></div></article>") == "a\nb\nc\nd\ne"
+
+
+def test_repeated_pages(spark):
+    pages = spark.createDataFrame([(1, "u", "<p>one</p>", "clash")] * 3 + [(2, "v", None, "clash")], "page_id long, url string, html string, text string")
+    assert sorted(tuple(r) for r in html_text.extract(pages).collect()) == [(1, "u", "one", 3)] * 3 + [(2, "v", "", 0)]
+
+
 # --- operator 8
 
 def judged(url):
@@ -458,12 +491,52 @@ def test_urls_against_brute_force(spark, sf):
         assert (r.host, r.path, r.rule, r.verdict) == (host, path, rule, want)
 
 
+def test_mining_ends_on_shared_query_keys(spark):
+    """Twenty query keys that always come together, in blocked and allowed URLs: subsets are not listed."""
+    keys = "&".join(f"k{i}=1" for i in range(20))
+    urls = [f"http://a{i % 7}.net/es/p?{keys}" for i in range(200)] + [f"http://b{i % 5}.com/x?{keys}" for i in range(150)]
+    urls += [f"http://c{i % 5}.net/es/q?only=1&{keys}" for i in range(50)]
+    urls += [f"http://d.org/es/z?{keys}", "http://d.org/y?only=2", "http://d.org/x?k3=1", "http://d.org/y?k3=1&only=1"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: r.verdict for r in url_rules.judge(pages.unionByName(pages.limit(3))).collect()}
+    assert [got[len(urls) - i] for i in (4, 3, 2, 1)] == ["block", "block", "allow", "block"]
+
+
+def test_equal_tokens_stand_for_their_class(spark):
+    """Rules of two classes fire with any member of each."""
+    rows = [(f"1-{i % 3}", ["a", "b", "x", "y"], "block") for i in range(30)] + [("2", ["a", "b", "z"], "allow")] * 10
+    rows += [("3", ["x", "y", "w"], "allow")] * 10
+    mined, classes = url_rules.mine(spark.createDataFrame(rows, "id string, tokens array<string>, verdict string"), 0.05, 0.8)
+    rules = sorted((r.tokens, round(r.confidence, 3)) for r in mined.collect())
+    assert rules == [(["a", "x"], 1.0)]
+    urls = spark.createDataFrame([(1, ["b", "y"]), (2, ["a"]), (3, ["y", "x"]), (4, ["a", "b", "x"]), (5, ["q"])], "id long, tokens array<string>")
+    assert sorted(r.id for r in url_rules.matches(urls, mined, classes).collect()) == [1, 4]
+
+
 def test_urls_without_labels(spark):
     pages = spark.createDataFrame([(1, "http://a.org/x"), (2, None)], "page_id long, url string")
     assert {r.verdict for r in url_rules.judge(pages).collect()} == {"allow"}
     assert url_rules.judge(pages.limit(0)).collect() == []
 
 
+# --- operator 10: one key and text in very many rows
+
+def test_hot_repeated_rows_are_dealt_out(spark):
+    from feedlake.llm import sharding
+
+    rows = spark.range(5000).select(F.lit(7).cast("bigint").alias("doc_id"), F.lit("same").alias("text"))
+    rows = rows.unionByName(spark.range(100, 1100).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), "id").alias("text")))
+    out = sharding.shard_documents(rows).collect()
+    assert len(out) == 6000 and {r.shard for r in out if r.doc_id == 7}.__len__() == 1
+    for shard in range(16):
+        slots = sorted(r.slot for r in out if r.shard == shard)
+        assert slots == list(range(len(slots)))
+    kept = {r.doc_id: r.shard for r in out}
+    assert all(r.grown_shard in (kept[r.doc_id], 16) for r in out) and any(r.grown_shard == 16 for r in out)
+    whole = sharding.shard_rows(rows).filter("doc_id = 7").select("slot").distinct()
+    assert whole.count() == 5000
+
+
 # --- operator 9
 
 def passages_by_brute_force(rows, n=50):
