@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlake.llm.common import bounded_broadcast, small_arrow_batches, text_of
-from feedlake.llm.words import blocks, mix, span_hashes
+from feedlake.llm.words import blocks, span_hashes
 from feedlake.session import scratch_path
 
 END_ID = 1
@@ -53,7 +53,7 @@ WRITE_OPTIONS = {
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"
 
-PIECE_CACHE, CHUNK_CACHE, JOINED = 400_000, 50_000, 256
+PIECE_CACHE, CHUNK_CACHE, JOINED = 300_000, 30_000, 256
 BLOCK_BYTES = 1 << 20
 
 #: Classes of lower-case bytes: white space, letters, digits, others.
@@ -76,17 +76,22 @@ class Cache:
         self.size, self.new, self.old = size, {}, {}
 
     def ids(self, keys: list[bytes], learn: Callable[[list[bytes]], list[bytes]]) -> list[bytes]:
-        missing = set(keys).difference(self.new)
-        if len(self.new) + len(missing) > self.size:
-            self.old, self.new, missing = self.new, {}, set(keys)
+        found = list(map(self.new.get, keys))
+        missing = [i for i, x in enumerate(found) if x is None]
+        if not missing:
+            return found
+        lost = list(dict.fromkeys([keys[i] for i in missing]))
+        if len(self.new) + len(lost) > self.size:
+            self.old, self.new = self.new, {}
         if self.old:
-            kept = missing.intersection(self.old)
-            self.new.update(zip(kept, map(self.old.__getitem__, kept)))
-            missing -= kept
-        if missing:
-            keys_in_order = list(missing)
-            self.new.update(zip(keys_in_order, learn(keys_in_order)))
-        return list(map(self.new.__getitem__, keys))
+            again = {k: x for k, x in zip(lost, map(self.old.get, lost)) if x is not None}
+            self.new.update(again)
+            lost = [k for k in lost if k not in again]
+        if lost:
+            self.new.update(zip(lost, learn(lost)))
+        for i in missing:
+            found[i] = self.new[keys[i]]
+        return found
 
 
 def split_units(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -205,22 +210,20 @@ class Encoder:
         """Ids of a block of texts: each distinct unit is looked up once, its ids are copied to all places by index."""
         data, starts, ends, plain = split_units(np.frombuffer(b" ".join(texts) + b" ", np.uint8))
         lengths = ends - starts
-        h = mix(span_hashes(data, starts, ends) + plain.astype(np.uint64))
+        h = (span_hashes(data, starts, ends) >> np.uint64(1)) | (plain.astype(np.uint64) << np.uint64(63))  # plain units come last
         _, first, which = np.unique(h, return_index=True, return_inverse=True)
         # are equal hashes equal units? compared byte by byte; after a collision every unit is looked up
-        same = (lengths == lengths[first][which]).all() and (plain == plain[first][which]).all()
+        same = (lengths == lengths[first][which]).all()
         if same:
             at = np.arange(int(lengths.sum())) + np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
             same = (data[at] == data[at + np.repeat(starts[first][which] - starts, lengths)]).all()
         if not same:
-            first = which = np.arange(len(h))
+            first = np.argsort(plain, kind="stable")
+            which = np.argsort(first)
         raw = data.tobytes()
         keys = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
-        kinds = plain[first]
-        ids = np.empty(len(keys), object)
-        for kind, cache, learn in ((True, self.pieces, self._piece_ids), (False, self.chunks, self._strange_ids)):
-            places = np.flatnonzero(kinds == kind)
-            ids[places] = cache.ids([keys[i] for i in places.tolist()], learn)
+        strange = len(keys) - int(plain[first].sum())
+        ids = self.chunks.ids(keys[:strange], self._strange_ids) + self.pieces.ids(keys[strange:], self._piece_ids)
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         values, offsets = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
         n = size[which]
