@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from feedlake.operators.entity import flatten_matches, flatten_scorers, flatten_standings
 from feedlake.plans.catalog import MATCH_ROWS_SQL, SCORER_ROWS_SQL, STANDING_ROWS_SQL, register
 from feedlake.schemas import MATCH, SCORER, STANDING
-from feedlake.session import scratch_path
-from feedlake.sinks import writers
+from feedlake.session import read_table, scratch_path
+from feedlake.sinks import csv_rows, writers
 from feedlake.sources import feeds
 
 
@@ -70,6 +70,18 @@ def q_sink_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return writers.read_csv(spark, path, SCORER)
 
 
+@register("sink_csv_exact", """
+SELECT doc_id, text || chr(13) || chr(10) || '"' || lang AS note, source FROM documents
+""")
+def q_sink_csv_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: whole texts with newlines, CRLF and quotes inside values, CRLF row ends; null and empty stay apart."""
+    path = scratch_path(spark, "documents-csv")
+    docs = read_table(spark, sf_dir, "documents").select(
+        "doc_id", F.concat("text", F.lit('\r\n"'), "lang").alias("note"), "source")
+    csv_rows.save(docs, path, quoting="strings")
+    return csv_rows.load(spark, path, docs.schema, quoting="strings")
+
+
 @register("sink_batches", f"""
 SELECT count(*) AS n_rows, true AS files_within_batch, count(*) > 1000 AS many_files
 FROM ({STANDING_ROWS_SQL}) s

@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from feedlake.operators.metrics import observed
+from feedlake.sinks import csv_rows
+from feedlake.sinks.errors import SinkError
 
 DEFAULT_BATCH = 0  # rows per file; 0 leaves the file size to the partitioning
 FORMATS = ("parquet", "csv")
@@ -38,10 +40,6 @@ CSV_OPTIONS = {
 }
 
 
-class SinkError(RuntimeError):
-    pass
-
-
 def _fixed(df: DataFrame, schema: T.StructType | None) -> DataFrame:
     if schema is None:
         return df
@@ -123,17 +121,16 @@ def write_csv(df: DataFrame, path: str, schema: T.StructType | None = None, fail
 
     Written as a CSV dataset ``path/data.csv/part-*`` (one file per task; a
     single file would funnel every row through one task). ``crlf`` ends rows
-    with CRLF like the client, but Spark then also rewrites newlines inside
-    values, so it is off by default.
+    with CRLF, as the client does: the ``csv_rows`` sink writes them, leaves newlines
+    inside values alone and puts one header over all files (read with ``csv_rows.load``).
     """
     target = f"{path.rstrip('/')}/data.csv"
+    if crlf:
+        return _count(_fixed(df, schema), lambda d: csv_rows.save(d, target, fail_if_empty=fail_if_empty), "write_csv")
     staged = _staging(target)
 
     def write(d: DataFrame) -> None:
-        w = d.write.options(**CSV_OPTIONS)
-        if crlf:
-            w = w.option("lineSep", "\r\n")
-        w.csv(staged)
+        d.write.options(**CSV_OPTIONS).csv(staged)
 
     rows = _count(_fixed(df, schema), write, "write_csv")
     _publish(df.sparkSession, staged, target, rows, fail_if_empty)
