@@ -143,7 +143,8 @@ def entity_requests(spark: SparkSession, endpoint: str, competition: str, season
 
 
 def season_dump(spark: SparkSession, competition: str, season: int, conf: dict, out_root: str, mode: str = "threaded",
-                quota: int | None = DEFAULT_QUOTA, policy: str = "entity", metrics_path: str | None = None) -> dict[str, str]:
+                quota: int | None = DEFAULT_QUOTA, policy: str = "entity", metrics_path: str | None = None,
+                workers: int = 3) -> dict[str, str]:
     """Three requests, one landing, three flattens, one dataset root per entity."""
     reqs = (requests.request_table(_one(spark), "competition_matches", F.lit(1), competition=F.lit(competition),
                                    season=F.lit(season))
@@ -151,7 +152,7 @@ def season_dump(spark: SparkSession, competition: str, season: int, conf: dict,
                                                 season=F.lit(season)))
             .unionByName(requests.request_table(_one(spark), "scorers", F.lit(3), competition=F.lit(competition),
                                                 season=F.lit(season))))
-    landing = land(spark, reqs, conf, f"{out_root}/_landing", mode, quota=quota, policy=policy)
+    landing = land(spark, reqs, conf, f"{out_root}/_landing", mode, workers, quota=quota, policy=policy)
     paths = {}
     for endpoint, entity in (("competition_matches", "matches"), ("standings", "standings"), ("scorers", "scorers")):
         run = RunRecord(spark, metrics_path, f"season_dump_{entity}")

@@ -22,6 +22,11 @@ from feedlake.sources import feeds, requests, rest_json
 from feedlake.sources.fetch import fetch_requests, write_store
 
 
+def _tasks(spark: SparkSession) -> int:
+    """Tasks of a fetch without a quota: pages are dealt over the whole cluster."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _store(spark: SparkSession, rows: DataFrame) -> dict:
     root = scratch_path(spark, "store")
     write_store(rows, root)
@@ -114,7 +119,8 @@ def q_season_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
              .unionByName(feeds.store_rows(feeds.scorers_landing(spark, sf_dir, season=1996), "scorers")))
     asked = F.col("args").getItem("competition") == "N05"
     conf = _store(spark, store.where(asked & (F.coalesce(F.col("params").getItem("season"), F.lit("")) == "1996")))
-    paths = jobs.season_dump(spark, "N05", 1996, conf, scratch_path(spark, "dump"), quota=None)
+    paths = jobs.season_dump(spark, "N05", 1996, conf, scratch_path(spark, "dump"), quota=None,
+                             workers=_tasks(spark))
     out = [spark.read.schema(SCHEMAS[e]).parquet(p).agg(
         F.count("*").alias("n_rows"), _checksum(SCHEMAS[e].names).alias("checksum"))
         .select(F.lit(e).alias("entity"), "n_rows", "checksum") for e, p in paths.items()]
@@ -139,8 +145,8 @@ def q_job_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     conf = _store_of(spark, rows, "competition_matches", throttle=True)
     out = scratch_path(spark, "job")
     reqs = jobs.matches_requests(spark, "N05", 1996)
-    jobs.ingest(spark, reqs, "matches", conf, f"{out}/landing", out, mode="sequential", validation="failfast", quota=None,
-                season=1996, status="FINISHED")
+    jobs.ingest(spark, reqs, "matches", conf, f"{out}/landing", out, mode="async", validation="failfast", quota=None,
+                workers=_tasks(spark), season=1996, status="FINISHED")
     return writers.read_partitioned(spark, f"{out}/matches", SCHEMAS["matches"])
 
 
@@ -152,7 +158,7 @@ def q_job_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
     conf = _store_of(spark, feeds.standings_landing(spark, sf_dir), "standings")
     out = scratch_path(spark, "job")
     jobs.ingest(spark, jobs.entity_requests(spark, "standings", "N05", 1996), "standings", conf, f"{out}/landing", out,
-                quota=None)
+                workers=_tasks(spark), quota=None)
     return writers.read_partitioned(spark, f"{out}/standings", SCHEMAS["standings"])
 
 
@@ -164,29 +170,34 @@ def q_job_scorers(spark: SparkSession, sf_dir: str) -> DataFrame:
     conf = _store_of(spark, feeds.scorers_landing(spark, sf_dir), "scorers")
     out = scratch_path(spark, "job")
     jobs.ingest(spark, jobs.entity_requests(spark, "scorers", "N05", feeds.SCORER_SEASON), "scorers", conf, f"{out}/landing",
-                out, fmt="csv", mode="async", quota=None)
+                out, fmt="csv", mode="async", workers=_tasks(spark), quota=None)
     return writers.read_csv(spark, f"{out}/scorers", SCHEMAS["scorers"])
 
 
 TEAM, TEAM_LIMIT = 1005, 25
 
 
-@register("job_team", f"""
-SELECT * FROM ({MATCH_ROWS_SQL}) m WHERE (home_team_id = {TEAM} OR away_team_id = {TEAM}) AND status = 'FINISHED'
-ORDER BY utc_date, match_id LIMIT {TEAM_LIMIT}
-""")
+TEAM_SQL = "SELECT * FROM (" + MATCH_ROWS_SQL + ") m WHERE (home_team_id = {team} OR away_team_id = {team}) AND status = 'FINISHED'"
+
+
+@register("job_team", f"{TEAM_SQL.format(team=TEAM)} ORDER BY utc_date, match_id LIMIT {TEAM_LIMIT}")
 def q_job_team(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One team's matches; the canned server ignores team, status and limit, the job applies them again."""
-    landed = feeds.matches_landing(spark, sf_dir).where(F.col("params").getItem("competition") == "N05")
-    reqs = jobs.team_requests(spark, TEAM, status="FINISHED", limit=TEAM_LIMIT)
+    return team_job(spark, sf_dir, TEAM, TEAM_LIMIT)
+
+
+def team_job(spark: SparkSession, sf_dir: str, team: int, limit: int) -> DataFrame:
+    """The server answers with every match of every competition."""
+    landed = feeds.matches_landing(spark, sf_dir)
+    reqs = jobs.team_requests(spark, team, status="FINISHED", limit=limit)
     pages = feeds.number_pages(landed.withColumn("page", F.col("task_index") * 1_000_000 + F.col("page"))
                                .withColumn("task_index", F.lit(0).cast("bigint")))
     body = F.concat(F.lit('{"total_pages":'), F.col("total_pages").cast("string"), F.lit(","), F.expr("substring(payload, 2)"))
     rows = pages.select("task_index", F.col("page_no").alias("page"), body.alias("body")).join(
         reqs.select("task_index", "path", "params", "args"), "task_index")
     out = scratch_path(spark, "job")
-    jobs.ingest(spark, reqs, "matches", _store(spark, rows), f"{out}/landing", out, quota=None, team=TEAM, limit=TEAM_LIMIT,
-                status="FINISHED")
+    jobs.ingest(spark, reqs, "matches", _store(spark, rows), f"{out}/landing", out, quota=None, workers=_tasks(spark), team=team,
+                limit=limit, status="FINISHED")
     return writers.read_partitioned(spark, f"{out}/matches", SCHEMAS["matches"])
 
 
@@ -210,7 +221,7 @@ def q_job_failed_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests of one season over all competitions; absent (404) and malformed ones are a job output."""
     conf = _store(spark, match_store(spark, sf_dir))
     done = jobs.ingest(spark, _season_matches(spark, sf_dir), "matches", conf, scratch_path(spark, "landing"),
-                       workers=spark.sparkContext.defaultParallelism, quota=None)
+                       workers=_tasks(spark), quota=None)
     return done.failed.select("task_index", "page", "http_status", "error")
 
 
@@ -235,7 +246,7 @@ def q_job_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("params").getItem("season").cast("int").alias("s")).distinct()
     reqs = requests.request_table(keys, "competition_matches", F.col("task_index"), competition=F.col("c"), season=F.col("s"))
     done = jobs.ingest(spark, reqs, "matches", conf, scratch_path(spark, "landing"),
-                       workers=spark.sparkContext.defaultParallelism, quota=None)
+                       workers=_tasks(spark), quota=None)
     return done.rejects.select(F.get_json_object("record", "$.id").cast("bigint").alias("match_id"), "field", "reason")
 
 

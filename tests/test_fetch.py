@@ -190,3 +190,13 @@ def test_unusable_body_fails_a_strict_job(spark):
     write_store(reqs.select("task_index", "path", "params", "args", F.lit(1).cast("bigint").alias("page"), F.lit('{"x": 1}').alias("body")), root)
     with pytest.raises(FetchError, match="missing_key:scorers"):
         jobs.ingest(spark, reqs, "scorers", {"kind": "file", "root": root}, scratch_path(spark, "t-l10"), mode="async", quota=None)
+
+
+@pytest.mark.parametrize("team", [1005, 7])  # away in its own competition; at home elsewhere
+def test_team_job_takes_matches_of_all_competitions(spark, sf, team):
+    from feedlake.plans import queries_fetch
+    from oracle_check import duck
+
+    got = sorted((r.match_id, r.home_team_id, r.away_team_id) for r in queries_fetch.team_job(spark, sf, team, 10_000_000).collect())
+    want = duck(sf).execute(f"SELECT match_id, home_team_id, away_team_id FROM ({queries_fetch.TEAM_SQL.format(team=team)}) t").fetchall()
+    assert got == sorted(want) and got
