@@ -104,7 +104,8 @@ JOIN nation n ON c.c_nationkey = n.n_nationkey
 def _import_all() -> None:
     """Query modules register themselves on import."""
     from feedlake.plans import (  # noqa: F401
-        queries_core, queries_fetch, queries_ingest, queries_ops, queries_shape, queries_sinks, queries_time, queries_validate)
+        queries_changes, queries_core, queries_fetch, queries_ingest, queries_ops, queries_shape, queries_sinks, queries_time,
+        queries_validate)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
