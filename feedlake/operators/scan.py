@@ -10,9 +10,9 @@ the data. This operator never groups by the key alone:
      set by the bucket count, not the data) give ``n - 1`` boundary tuples of
      (key, order); a binary search in that sorted array turns each row's tuple
      into a bucket id, a plain data column. A hot key spans many buckets.
-  3. rows are hash-distributed by bucket and sorted; per partition a vectorised
-     running op (NumPy over Arrow batches) gives the value within (bucket, key),
-     carrying state across batches.
+  3. rows are hash-distributed by bucket; a window per (bucket, key) gives the
+     running value there. A bucket's size is set by the bucket count, so no
+     window holds a whole hot key.
   4. per bucket: first key, last key and the last key's partial aggregate
      (map-side partial aggregation, one row per bucket) -> a window over that
      tiny table gives the carry each bucket's first key needs from earlier
@@ -26,45 +26,12 @@ data is physically split, recomputed or re-planned after an executor loss.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from feedlake.session import scratch_path
 
 LOCAL = "_scan_local"
-
-
-def _local_scan(keys: list[str], value: str, op: str):
-    def run(batches):
-        prev_key, prev_val = None, None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            n = len(pdf)
-            # group starts inside the (sorted) batch, vectorised over the key columns
-            starts = np.zeros(n, dtype=bool)
-            starts[0] = True
-            for k in keys:
-                col = pdf[k].to_numpy()
-                starts[1:] |= col[1:] != col[:-1]
-            gid = np.cumsum(starts) - 1
-            grouped = pd.Series(pdf[value].to_numpy()).groupby(gid)
-            run_vals = (grouped.cumsum() if op == "sum" else grouped.cummax()).to_numpy()
-            first_key = tuple(pdf[k].iat[0] for k in keys)
-            if prev_key is not None and first_key == prev_key:
-                head = gid == 0
-                run_vals[head] = run_vals[head] + prev_val if op == "sum" else np.maximum(run_vals[head], prev_val)
-            prev_key, prev_val = tuple(pdf[k].iat[n - 1] for k in keys), run_vals[-1]
-            out = pdf.copy()
-            out[LOCAL] = run_vals
-            yield out
-
-    return run
-
-
 BKT = "_scan_bucket"
 SAMPLE_PER_BUCKET = 32
 SAMPLE_SEED = 20240601
@@ -143,9 +110,9 @@ def prefix_scan(df: DataFrame, keys: list[str], order: list[str], value: str, op
     df.write.parquet(path)
     df = spark.read.schema(df.schema).parquet(path)
     bucketed = df.withColumn(BKT, bucket_of(df, cols, boundaries(df, cols, n)))
-    dealt = bucketed.repartition(n, BKT).sortWithinPartitions(BKT, *cols)
-    schema = T.StructType(list(bucketed.schema.fields) + [T.StructField(LOCAL, T.LongType(), False)])
-    local = dealt.mapInPandas(_local_scan([BKT] + keys, value, op), schema)
+    running = Window.partitionBy(BKT, *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    # dealt by bucket alone: (bucket, key) is then together too, and the window adds no shuffle
+    local = bucketed.repartition(n, BKT).withColumn(LOCAL, (F.sum if op == "sum" else F.max)(value).over(running))
     # At most ``n`` rows: the broadcast is bounded by the bucket count, not by the data.
     carry = F.broadcast(_carry_table(bucketed, keys, value, op))
     joined = local.join(carry, on=BKT, how="left")

@@ -9,7 +9,7 @@ from feedlake.operators.entity import flatten_matches, flatten_scorers, flatten_
 from feedlake.plans.catalog import MATCH_ROWS_SQL, SCORER_ROWS_SQL, STANDING_ROWS_SQL, register
 from feedlake.schemas import MATCH, SCORER, STANDING
 from feedlake.session import read_table, scratch_path
-from feedlake.sinks import csv_rows, writers
+from feedlake.sinks import compact, csv_rows, writers
 from feedlake.sources import feeds
 
 
@@ -96,6 +96,32 @@ def q_sink_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.count("*") > 1).alias("many_files"))
 
 
+@register("sink_compaction", f"""
+SELECT competition_code, count(*) AS n, CAST(sum(match_id) AS BIGINT) AS sum_id, min(match_date) AS first_date,
+  count(*) FILTER (WHERE home_score_ft IS NULL) AS n_open, true AS many_before, true AS few_after
+FROM ({MATCH_ROWS_SQL}) m GROUP BY competition_code
+""")
+def q_sink_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten appends of matches, compacted; rows of each competition and the number of its files before and after."""
+    path, landed = scratch_path(spark, "matches-appended"), scratch_path(spark, "matches-flat")
+    flatten_matches(feeds.matches_landing(spark, sf_dir)).write.parquet(landed)
+    rows = spark.read.schema(MATCH).parquet(landed)
+    for i in range(10):
+        writers.write_partitioned(rows.filter(F.col("match_id") % 10 == i), path, ["competition_code"], MATCH)
+    sizes = F.sum("length").alias("bytes"), F.count("*").alias("n_files")
+    before = compact.live_files(spark, path, version=0).groupBy("folder").agg(*sizes)
+    compact.compact(spark, path, MATCH, ["competition_code"], ["match_date", "match_id"])
+    after = compact.live_files(spark, path).groupBy("folder").agg(*sizes)
+    files = before.alias("b").join(after.alias("a"), "folder").select(
+        F.regexp_extract("folder", "competition_code=(.*)$", 1).alias("competition_code"), (F.col("b.n_files") > 1).alias("many_before"),
+        # a folder's rows span at most one range more than its bytes need, at either end
+        (F.col("a.n_files") <= F.ceil(F.col("b.bytes") / compact.TARGET_BYTES) + 1).alias("few_after"))
+    back = compact.read(spark, path, MATCH).groupBy("competition_code").agg(
+        F.count("*").alias("n"), F.sum("match_id").alias("sum_id"), F.min("match_date").alias("first_date"),
+        F.count_if(F.col("home_score_ft").isNull()).alias("n_open"))
+    return back.join(files, "competition_code")
+
+
 @register("sink_route", f"""
 SELECT 'csv' AS fmt, count(*) AS n FROM ({SCORER_ROWS_SQL}) a
 UNION ALL SELECT 'parquet', count(*) FROM ({SCORER_ROWS_SQL}) b
