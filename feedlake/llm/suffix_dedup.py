@@ -1,25 +1,23 @@
-"""Operator 9: passages that repeat across documents, by grouping sparse suffixes.
-
-This departs from a sparse suffix array: suffixes are not sorted, neighbours not
-compared and matches not extended word by word. Grouping by hashes takes their
-place, since a range sort ships whole suffixes and puts all that share a hot
-passage side by side, while hashes are short and are aggregated partially in each task.
+"""Operator 9: passages that repeat across documents, by a sparse suffix array.
 
 Only suffixes that start at a minimiser are kept: of every ``SPREAD``
 consecutive ``GRAM``-word grams the one with the smallest hash (the first on
 a tie). The choice depends on the words alone, so two documents that share
 ``MIN_WORDS`` words keep a suffix at the same place of the shared passage, at
 most SPREAD - 1 words after its start; the suffixes agree on
-``MIN_WORDS - SPREAD + 1`` words at least.
-
-1. Group instead of sorting: suffixes are brought together by the hash of that many
-   leading words; a suffix whose group is all of its own document drops
-   out. A document that repeats one passage many times holds its key once. (One aggregation with partial minima and maxima, then a join, so a
-   passage in very many documents is neither gathered nor paired.)
-2. Windows instead of extending: around each suffix left, the windows of MIN_WORDS
-   words that have it as their minimiser are grouped by their hashes in the same way. A
-   window found in two documents is repeated; overlapping windows merge into
-   maximal passages.
+``MIN_WORDS - SPREAD + 1`` words at least, their lead.
+
+1. Sort: suffixes are range-partitioned and sorted by the words of their lead (16 bits of each word's
+   hash, so a suffix is some 50 bytes), then by text. Sampled boundaries are (lead, text) pairs: a passage in
+   very many documents spans tasks.
+2. Compare neighbours: a suffix whose common prefix with the row before or after it fills the lead is matched; rows
+   stream by and only the last one is held. The first and last row of a partition also go to a
+   small table (two rows a partition), which finds matches across partition boundaries.
+3. Extend left and right: around each matched suffix, the windows of MIN_WORDS words that have it as their
+   minimiser reach up to SPREAD - 1 words to its left and on to its right; they are aggregated by 96 bits of
+   whole word hashes. (The neighbour with the longest common prefix to the right need not be the one that agrees
+   on the left, so an extension towards one neighbour would miss matches.) A window found in two
+   documents is repeated; overlapping windows merge into maximal passages.
 
 Documents with equal word sequences form a class and are searched once (a hot
 copy is indexed once a task); a class with several documents of MIN_WORDS
@@ -47,9 +45,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlake.llm.common import bounded_broadcast, small_arrow_batches, text_of, written
-from feedlake.llm.words import blocks, long_window_hashes, mix, window_hashes, word_hashes
+from feedlake.llm.words import BASE, blocks, long_window_hashes, mix, window_hashes, word_hashes
 
 MIN_WORDS, GRAM, SPREAD = 50, 8, 25
+#: Digests of texts that a task remembers as indexed; beyond it a copy is indexed again, which the sort takes out.
+SEEN = 200_000
+_CHECK = np.uint64(0xC2B2AE3D27D4EB4F)  # fixed value: makes a second, independent hash of a window
 
 
 def _digests(h: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int]]:
@@ -71,8 +72,13 @@ def _minimisers(h: np.ndarray, owner: np.ndarray, words: int) -> tuple[np.ndarra
     return starts, starts + view[starts].argmin(axis=1)
 
 
-def _suffix_batches(words: int):
-    """Distinct (key, h1) of the sparse suffixes; equal texts are indexed once a task."""
+def _codes(h: np.ndarray) -> np.ndarray:
+    """16 bits of each word's hash: what suffixes are sorted by."""
+    return h >> np.uint64(48)
+
+
+def _suffix_batches(words: int, most_seen: int):
+    """Distinct (lead, h1) of the sparse suffixes of each text; equal texts are indexed once a task."""
     lead = words - SPREAD + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,6 +90,8 @@ def _suffix_batches(words: int):
                 bounds = np.searchsorted(owner, np.arange(hi - lo + 1))
                 ids = _digests(h, bounds)
                 new = np.zeros(hi - lo, bool)
+                if len(seen) > most_seen:
+                    seen.clear()
                 for i, d in enumerate(ids):
                     if d not in seen and bounds[i + 1] - bounds[i] >= words:
                         seen.add(d)
@@ -91,12 +99,51 @@ def _suffix_batches(words: int):
                 starts, low = _minimisers(h, owner, words)
                 at = np.unique(low[new[owner[starts]]]) if len(starts) else starts
                 if len(at):
-                    key, text = long_window_hashes(h, lead)[at], owner[at]
-                    order = np.lexsort((key, text))  # a passage that fills a text has one key many times
-                    key, text = key[order], text[order]
+                    codes = _codes(h)
+                    key, text = long_window_hashes(codes, lead)[at], owner[at]
+                    order = np.lexsort((key, text))  # a passage that fills a text has one lead many times
+                    key, text, at = key[order], text[order], at[order]
                     first = np.concatenate(([True], (key[1:] != key[:-1]) | (text[1:] != text[:-1])))
                     node = np.array([d[0] for d in ids], np.int64)[text[first]]
-                    yield pa.RecordBatch.from_arrays([pa.array(key[first].view(np.int64)), pa.array(node)], ["key", "h1"])
+                    leads = np.lib.stride_tricks.sliding_window_view(codes.astype(">u2"), lead)[at[first]]
+                    ends = np.arange(len(node) + 1, dtype=np.int32) * np.int32(2 * lead)
+                    column = pa.Array.from_buffers(pa.binary(), len(node), [None, pa.py_buffer(ends), pa.py_buffer(leads.tobytes())])
+                    yield pa.RecordBatch.from_arrays([column, pa.array(node)], ["lead", "h1"])
+
+    return run
+
+
+def _neighbour_batches(words: int):
+    """(key, h1, edge) of sorted suffixes that share their lead with a neighbour of another text, and of the partition's edges."""
+    lead = words - SPREAD + 1
+    power = np.array([pow(BASE, i, 1 << 64) for i in range(lead)], np.uint64)
+
+    def rows(leads: np.ndarray, text: np.ndarray, edge: bool) -> pa.RecordBatch:
+        key = mix((mix(leads.astype(np.uint64)) * power).sum(axis=1, dtype=np.uint64))  # long_window_hashes of the codes
+        return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(text), pa.array(np.full(len(text), edge))],
+                                          ["key", "h1", "edge"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the row before: its lead, its text, whether it agrees with the row before it
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            leads = np.frombuffer(b"".join(batch.column("lead").to_pylist()), ">u2").reshape(-1, lead)
+            text = batch.column("h1").to_numpy()
+            if held is None:
+                yield rows(leads[:1], text[:1], True)
+                held = leads[:0], text[:0], np.zeros(0, bool)
+            leads, text = np.concatenate((held[0], leads)), np.concatenate((held[1], text))
+            agree = (leads[1:] == leads[:-1]).all(axis=1)
+            other = np.concatenate(([True], ~agree | (text[1:] != text[:-1])))  # a text indexed twice is one row
+            before = np.concatenate((held[2] if len(held[2]) else [False], agree))[other]
+            leads, text = leads[other], text[other]
+            held = leads[-1:], text[-1:], before[-1:]
+            matched = before[:-1] | before[1:]
+            yield rows(leads[:-1][matched], text[:-1][matched], False)
+        if held is not None:
+            yield rows(held[0][held[2]], held[1][held[2]], False)
+            yield rows(held[0], held[1], True)
 
     return run
 
@@ -115,7 +162,7 @@ def _class_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _window_batches(words: int):
-    """(key, node, at, more) of the windows whose minimiser starts one of the row's suffixes.
+    """(key, check, node, at, more) of the windows whose minimiser starts one of the row's suffixes.
 
     A key stands once for a document: ``more`` holds its further places, and is null for nearly all.
     """
@@ -128,16 +175,17 @@ def _window_batches(words: int):
             for text, node, keys in zip(texts, batch.column("node").to_pylist(), batch.column("keys").to_pylist()):
                 h, owner = word_hashes([text])
                 starts, low = _minimisers(h, owner, words)
-                at = starts[np.isin(long_window_hashes(h, lead)[low].view(np.int64), np.array(keys, np.int64))]
-                key = long_window_hashes(h, words)[at]
-                order = np.argsort(key, kind="stable")
-                key, at = key[order], at[order].astype(np.int32)
-                cut = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else at
+                at = starts[np.isin(long_window_hashes(_codes(h), lead)[low].view(np.int64), np.array(keys, np.int64))]
+                key, check = long_window_hashes(h, words)[at], long_window_hashes(h ^ _CHECK, words)[at] >> np.uint64(32)
+                order = np.lexsort((check, key))
+                key, check, at = key[order], check[order].astype(np.uint32), at[order].astype(np.int32)
+                cut = (np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (check[1:] != check[:-1]))))
+                       if len(key) else at)
                 ends = np.append(cut[1:], len(key)) if len(key) else at
                 more = [at[a + 1:b] if b - a > 1 else None for a, b in zip(cut.tolist(), ends.tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key[cut].view(np.int64)), pa.array([node] * len(cut), kind), pa.array(at[cut]),
-                     pa.array(more, pa.list_(pa.int32()))], ["key", "node", "at", "more"])
+                    [pa.array(key[cut].view(np.int64)), pa.array(check[cut].view(np.int32)), pa.array([node] * len(cut), kind),
+                     pa.array(at[cut]), pa.array(more, pa.list_(pa.int32()))], ["key", "check", "node", "at", "more"])
 
     return run
 
@@ -163,10 +211,10 @@ def _span_batches(words: int):
     return run
 
 
-def _shared(rows: DataFrame, who: str) -> DataFrame:
+def _shared(rows: DataFrame, by: list[str], who: str) -> DataFrame:
     """Rows whose key also occurs with another value of ``who``; adds ``first``, the smallest value."""
-    keys = rows.groupBy("key").agg(F.min(who).alias("first"), F.max(who).alias("last")).filter("first < last")
-    return rows.join(keys.select("key", "first"), "key")
+    keys = rows.groupBy(*by).agg(F.min(who).alias("first"), F.max(who).alias("last")).filter("first < last")
+    return rows.join(keys.select(*by, "first"), by)
 
 
 def find(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -181,16 +229,21 @@ def find(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     classes = written(rows.groupBy("h1", "h2").agg(
         F.min("doc_id").alias("node"), F.max("doc_id").alias("last"), F.first("n_words").alias("n_words")), "suffix-classes")
 
-    suffixes = written(texts.select("text").mapInArrow(_suffix_batches(min_words), "key bigint, h1 bigint"), "suffix-sorted")
-    keys = (_shared(suffixes, "h1").select("h1", "key").join(classes.select("h1", "node"), "h1")
+    # written, since the sort reads it twice (once for the boundaries)
+    sparse = written(texts.select("text").mapInArrow(_suffix_batches(min_words, SEEN), "lead binary, h1 bigint"), "suffix-sparse")
+    ordered = sparse.repartitionByRange("lead", "h1").sortWithinPartitions("lead", "h1")
+    compared = written(ordered.mapInArrow(_neighbour_batches(min_words), "key bigint, h1 bigint, edge boolean"), "suffix-matched")
+    across = _shared(compared.filter("edge"), ["key"], "h1").select("h1", "key")
+    matched = compared.filter(~F.col("edge")).select("h1", "key").unionByName(across)
+    keys = (matched.join(classes.select("h1", "node"), "h1")
             .groupBy("node").agg(F.collect_set("key").alias("keys")))
     keys = written(keys, "suffix-keys")
     # few ids are broadcast so that only their texts are shuffled; the keys never are broadcast
     again = texts.withColumnRenamed("doc_id", "node").join(bounded_broadcast(keys.select("node")), "node", "left_semi")
     again = again.join(keys, "node")
-    windows = written(again.mapInArrow(_window_batches(min_words), f"key bigint, node {kind}, at int, more array<int>"), "suffix-windows")
+    windows = written(again.mapInArrow(_window_batches(min_words), f"key bigint, check int, node {kind}, at int, more array<int>"), "suffix-windows")
     places = F.concat(F.array("at"), F.coalesce("more", F.array().cast("array<int>")))
-    repeated = _shared(windows, "node").withColumn("places", F.when(F.col("more").isNull(), F.array("at")).otherwise(places))
+    repeated = _shared(windows, ["key", "check"], "node").withColumn("places", F.when(F.col("more").isNull(), F.array("at")).otherwise(places))
     repeated = repeated.groupBy("node").agg(
         F.flatten(F.collect_list("places")).alias("all"),
         F.flatten(F.collect_list(F.when(F.col("node") != F.col("first"), F.col("places")))).alias("later"))

@@ -587,5 +587,25 @@ def test_passages_of_fifty_words(spark):
     assert set(got) == set(range(1, 40, 2)) and all(b - a == 50 for s in got.values() for a, b in s)
 
 
+def test_matches_across_partitions(spark, monkeypatch):
+    """A hot passage and copies that end in other partitions: more ranges than a lead has rows, and texts forgotten at once."""
+    monkeypatch.setattr(suffix_dedup, "SEEN", 0)
+    run = [f"r{i % 60}" for i in range(70)]
+    rows = [(i, " ".join([f"u{i}-{j}" for j in range(i % 60)] + run + [f"v{i}-{j}" for j in range(i % 7)])) for i in range(40)]
+    rows += [(100 + i, rows[0][1]) for i in range(5)] + [(200 + i, " ".join(f"w{i // 2}-{j}" for j in range(80)) + f" e{i}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    want = passages_by_brute_force(rows)
+    try:
+        for n in (1, 150):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+            got = suffix_dedup.find(docs).collect()
+            assert {r.doc_id: ([tuple(s) for s in r.spans], [tuple(s) for s in r.cut]) for r in got} == want
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_no_passages(no_docs):
     assert suffix_dedup.find(no_docs).collect() == []
