@@ -9,6 +9,8 @@ An unknown mode is an error (the client silently fell back to sequential).
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +18,9 @@ from pyspark.sql import functions as F
 
 from feedlake.operators import filters
 from feedlake.operators.entity import flatten_entity
-from feedlake.operators.metrics import RunRecord
+from feedlake.operators.metrics import RunRecord, observed
 from feedlake.schemas import ENTITIES, SCHEMAS
+from feedlake.session import scratch_path
 from feedlake.sinks import writers
 from feedlake.sources import requests
 from feedlake.sources.fetch import FetchError, fetch_requests
@@ -176,3 +179,34 @@ def bulk_standings(spark: SparkSession, competitions_landing: DataFrame, season:
                                   competition=F.col("competition_code"), season=F.lit(season))
     landing = land(spark, reqs, conf, landing_path, mode, workers, quota, policy=policy)
     return flatten_entity(filters.skip_empty(landing), "standings").valid
+
+
+def run_recorded(spark: SparkSession, metrics_path: str | None, job: str, work: Callable[[], int | None], times: int = 1,
+                 backoff_s: float = 0.0, sleep: Callable[[float], None] = time.sleep) -> int | None:
+    """Run ``work`` (returns the rows it wrote) up to ``times`` times; every try leaves one row of run metrics.
+
+    After failed try ``a`` the wait is ``a * backoff_s``; the last failure is raised. ``work`` must be repeatable:
+    write to a fresh folder or replace one as a whole.
+    """
+    if times < 1:
+        raise ValueError("times must be at least 1")
+    for attempt in range(1, times + 1):
+        run = RunRecord(spark, metrics_path, job)
+        try:
+            rows = work()
+            run.done(rows)
+            return rows
+        except Exception:
+            if attempt == times:
+                raise
+        finally:
+            run.close()
+        sleep(attempt * backoff_s)
+
+
+def land_pages(pages: DataFrame, tag: str = "pages") -> tuple[str, int]:
+    """Write a paged read to a fresh folder; (path, pages landed), counted by the write itself."""
+    path = scratch_path(pages.sparkSession, tag)
+    rows, seen = observed(pages, f"land_pages_{tag}")
+    rows.write.parquet(path)
+    return path, int(seen.get.get("rows", 0))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.functions.coerce import int_div
+from feedlake.operators.metrics import RUNS
 from feedlake.plans import jobs
 from feedlake.plans.catalog import CODE, MATCH_ROWS_SQL, SCORER_ROWS_SQL, STANDING_ROWS_SQL, register
 from feedlake.schemas import SCHEMAS
@@ -321,3 +322,33 @@ def q_page_drop_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
     recs = rest_json.explode_page_records(pages, {"o_orderkey": "o_orderkey:bigint", "o_custkey": "o_custkey:bigint",
                                                   "o_orderstatus": "o_orderstatus:string"})
     return recs.select("o_orderkey", "o_custkey", "o_orderstatus", "page")
+
+
+@register("page_runs", """
+WITH n AS (SELECT CAST(max(o_orderkey) // 100 + 1 AS BIGINT) AS n FROM orders),
+p AS (SELECT o_orderkey, o_orderkey // 100 + 1 AS page FROM orders)
+SELECT 'page_sequential' AS job, n AS pages, (SELECT count(*) FROM p) AS records, true AS ok, true AS timed FROM n
+UNION ALL SELECT 'page_async', n, (SELECT count(*) FROM p), true, true FROM n
+UNION ALL SELECT 'page_threaded', n - n // 7, (SELECT count(*) FROM p WHERE page % 7 <> 0), true, true FROM n
+""")
+def q_page_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Timed paged reads of the three schemes, landed; the recorded runs beside the records that landed."""
+    log = scratch_path(spark, "page-runs")
+    whole = _store(spark, order_pages_store(spark, sf_dir, "/orders", True, None))
+    holes = _store(spark, order_pages_store(spark, sf_dir, "/orders", False, 7))
+    total = read_table(spark, sf_dir, "orders").agg(
+        (int_div(F.max("o_orderkey"), PAGE_SIZE) + 1).alias("n")).first()["n"]
+    landed = {}
+
+    def read(scheme: str) -> int:
+        conf, n = (holes, int(total)) if scheme == "threaded" else (whole, None)
+        landed[scheme], pages = jobs.land_pages(_read_pages(spark, conf, "/orders", scheme, n), f"pages-{scheme}")
+        return pages
+
+    for scheme in ("sequential", "async", "threaded"):
+        jobs.run_recorded(spark, log, f"page_{scheme}", lambda: read(scheme), times=2, backoff_s=1.0)
+    counts = [rest_json.explode_page_records(spark.read.schema(rest_json.SCHEMA).parquet(path)).agg(F.count("*").alias("records"))
+              .withColumn("job", F.lit(f"page_{scheme}")) for scheme, path in landed.items()]
+    runs = spark.read.schema(RUNS).parquet(log)
+    return runs.join(counts[0].unionByName(counts[1]).unionByName(counts[2]), "job").select(
+        "job", F.col("rows_written").alias("pages"), "records", "ok", (F.col("duration_ms") > 0).alias("timed"))
