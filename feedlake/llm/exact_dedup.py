@@ -8,7 +8,7 @@
 3. The candidates are counted exactly; those with at least 1 / HEAVY_SHARE of the rows (two copies at least) are the
    verified winners (at most ``CANDIDATES`` rows), broadcast and joined on
    the map side, so copies of a frequent text are never shuffled.
-4. All other digests have few copies each and use an ordinary window shuffle.
+4. All other digests are aggregated (partially in each task) and joined back by an ordinary shuffle.
 
 Of equal texts the row with the largest doc_id stays.
 
@@ -20,7 +20,7 @@ gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlake.llm.common import text_of, written
@@ -51,9 +51,11 @@ def dedup(docs: DataFrame, candidates: int = CANDIDATES, counters: int = COUNTER
     heavy = written(heavy_digests(rows, candidates, counters), "dedup-heavy")
     split = rows.join(F.broadcast(heavy), "digest", "left")
     frequent = split.filter(F.col("group_size").isNotNull())
-    rest = split.filter(F.col("group_size").isNull())
-    same = Window.partitionBy("digest")
-    rest = rest.withColumn("group_size", F.count("*").over(same)).withColumn("keep_id", F.max("doc_id").over(same))
+    rest = split.filter(F.col("group_size").isNull()).select("doc_id", "digest")
+    # an aggregate and a join, not a window: AQE can split a digest that many rows share
+    groups = rest.groupBy("digest").agg(F.count("*").alias("group_size"), F.max("doc_id").alias("keep_id"))
+    rest = rest.join(groups, "digest").select("digest", "doc_id", "group_size", "keep_id")
+    frequent = frequent.select(*rest.columns)
     return frequent.unionByName(rest).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"))
