@@ -3,9 +3,11 @@
 The flatten is a short chain of native projections over a VARIANT record
 column; no Python runs per row and Catalyst prunes what the plan does not
 read. Stages:
-  1. extract every leaf path and every distinct parent path once (VARIANT)
-  2. per extracted value: its type name and its text rendering
-  3. per field: coerced value and reject reason
+  1. extract every leaf path once (VARIANT)
+  2. per extracted value: its type name and its text rendering; a parent is read
+     only where no leaf below it is there
+  3. per field: coerced value
+  4. per absent value: reject reason
 Splitting keeps each generated method small and evaluates each path once
 (Catalyst does not merge projections that would duplicate non-cheap work).
 
@@ -25,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlake.functions import coerce
-from feedlake.schemas import ENTITIES, FieldSpec
+from feedlake.schemas import ENTITIES, ERRORS_TYPE, FieldSpec
 
 REC = "_rec"
 GRP = "_grp"
@@ -76,65 +78,80 @@ def flatten_records(records: DataFrame, entity: str | None, keep: tuple[str, ...
     has_pre = PRE in records.columns
     carry = list(keep) + ([PRE] if has_pre else [])
 
-    # Stage 1: each leaf and each distinct parent path, once.
+    # Stage 1: each leaf, once.
     leaves, parents = {}, {}
     for i, f in enumerate(fields):
         if f.source == "context":
             continue
         leaves[f.name] = (f"_l{i}", F.variant_get(F.col(_base(f)), "$." + f.path, "variant"))
         for p in _parents(f.path):
-            key = (_base(f), p)
-            if key not in parents:
-                parents[key] = (f"_p{len(parents)}",
-                                F.variant_get(F.col(_base(f)), "$." + p, "variant"))
+            _, below = parents.setdefault((_base(f), p), (f"_p{len(parents)}", []))
+            below.append(f"_l{i}")
     ctx = [F.col(f.path).alias(f"_c{i}") for i, f in enumerate(fields) if f.source == "context"]
-    s1 = records.select(*carry, F.schema_of_variant(F.col(REC)).alias("_rt"), *ctx,
-                        *[c.alias(n) for n, c in leaves.values()],
-                        *[c.alias(n) for n, c in parents.values()])
+    bases = sorted({REC} | {base for base, _ in parents})
+    s1 = records.select(*carry, *[F.col(b) for b in bases if b not in carry], *ctx, *[c.alias(n) for n, c in leaves.values()])
 
     # Stage 2: type name + text of each leaf (a plain LONG leaf typed BIGINT is read
-    # directly and needs no text); reason of each parent.
+    # directly and needs no text). A leaf that is there says that its parents and its record are
+    # objects: they are read, and their types worked out, only where every leaf below is absent.
     by_name = {f.name: f for f in fields}
 
     def text(name: str, n: str) -> Column:
         s = F.try_variant_get(F.col(n), "$", "string")
         return F.when(F.schema_of_variant(F.col(n)) != "BIGINT", s) if _direct_long(by_name[name]) else s
 
+    # The lambda keeps a projection out of whole-stage code: its code is then cut into small
+    # methods. In one method it is beyond the 8000 bytes up to which the JVM compiles.
+    def absent(below: list[str]) -> Column:
+        return F.forall(F.array(*below), lambda v: v.isNull()) if below else F.lit(True)
+
+    def parent(base: str, path: str, below: list[str]) -> Column:
+        t = F.schema_of_variant(F.variant_get(F.col(base), "$." + path, "variant"))
+        return F.when(absent(below), coerce.parent_reason(t))
+
     s2 = s1.select(
-        *carry, "_rt", *[f"_c{i}" for i, f in enumerate(fields) if f.source == "context"],
+        *carry, *[b for b in bases if b not in carry],
+        *[f"_c{i}" for i, f in enumerate(fields) if f.source == "context"],
         *[F.schema_of_variant(F.col(n)).alias(n + "t") for n, _ in leaves.values()],
         *[text(name, n).alias(n + "s") for name, (n, _) in leaves.items()],
         *[F.try_variant_get(F.col(n), "$", "bigint").alias(n + "i") for name, (n, _) in leaves.items()
           if _direct_long(by_name[name])],
-        *[coerce.parent_reason(F.schema_of_variant(F.col(n))).alias(n + "r") for n, _ in parents.values()],
+        *[parent(base, p, below).alias(n + "r") for (base, p), (n, below) in parents.items()],
     )
 
-    # Stage 3: values and reasons.
+    # Stage 3: values. A value that is there has no reason to be rejected.
     values, checks = [], []
     for i, f in enumerate(fields):
         dtype = "bigint" if f.kind == "long" else "string"
         if f.source == "context":
-            v = F.col(f"_c{i}").cast(dtype)
-            r = F.when(v.isNull(), F.lit("null")) if f.presence == "required" else _null_str()
+            v = F.col(f"_c{i}")
+            r = F.lit("null") if f.presence == "required" else _null_str()
         else:
             n = leaves[f.name][0]
             t, s = F.col(n + "t"), F.col(n + "s")
-            conv_value, conv_reason = _field_value(f, t, s, F.col(n + "i") if _direct_long(f) else None)
+            v, conv_reason = _field_value(f, t, s, F.col(n + "i") if _direct_long(f) else None)
             missing = _null_str() if f.presence == "optional" else F.lit("missing")
             null = F.lit("null") if f.presence == "required" else _null_str()
             r = F.when(t.isNull(), missing).when(t == "VOID", null).otherwise(conv_reason)
             pr = [F.col(parents[(_base(f), p)][0] + "r") for p in _parents(f.path)]
             r = F.coalesce(*pr, r) if pr else r
-            v = F.when(r.isNull() & t.isNotNull() & (t != "VOID"), conv_value).cast(dtype)
-        values.append(v.alias(f.name))
+        values.append(v.cast(dtype).alias(f"_v{i}"))
+        r = F.when(F.col(f"_v{i}").isNull(), r)
         checks.append(F.when(r.isNotNull(), F.struct(F.lit(f.name).alias("field"), r.alias("reason"))))
-
-    not_object = F.when(~F.col("_rt").startswith("OBJECT"),
-                        F.array(F.struct(F.lit("_record").alias("field"), F.lit("type").alias("reason"))))
-    errs = F.coalesce(not_object, F.filter(F.array(*checks), lambda x: x.isNotNull()))
+    own = [leaves[f.name][0] + "t" for f in fields if f.name in leaves and _base(f) == REC]
+    no = F.when(absent(own), ~F.schema_of_variant(F.col(REC)).startswith("OBJECT"))
+    s3 = s2.select("*", *values, no.alias("_no"))
+
+    # Stage 4: reasons, of records with an absent value only.
+    found = [F.col(f"_v{i}") for i in range(len(fields))]
+    not_object = F.when(F.col("_no"), F.array(F.struct(F.lit("_record").alias("field"), F.lit("type").alias("reason"))))
+    complete = F.forall(F.array(*[v.isNotNull() for v in found]), lambda v: v)
+    errs = F.when(complete, F.array().cast(ERRORS_TYPE)).otherwise(
+        F.coalesce(not_object, F.filter(F.array(*checks), lambda x: x.isNotNull())))
     if has_pre:
         errs = F.when(F.size(F.col(PRE)) > 0, F.col(PRE)).otherwise(errs)
     # ``_part`` (the task's partition id, reported by fail-fast errors) is
     # nondeterministic, so a filter on ``_errors`` stays above this projection
     # instead of being pushed below it with every check inlined a second time.
-    return s2.select(*keep, *values, errs.alias(ERRORS), F.spark_partition_id().alias(PART))
+    return s3.select(*keep, *[v.alias(f.name) for v, f in zip(found, fields)], errs.alias(ERRORS),
+                     F.spark_partition_id().alias(PART))

@@ -150,3 +150,4 @@ LANDING = T.StructType(
 ERROR_STRUCT = T.StructType(
     [T.StructField("field", T.StringType(), False), T.StructField("reason", T.StringType(), False)]
 )
+ERRORS_TYPE = T.ArrayType(ERROR_STRUCT)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlake.operators.flatten import GRP, PRE, REC
-from feedlake.schemas import ENTITIES
+from feedlake.schemas import ENTITIES, ERRORS_TYPE
 
 DOC = "_doc"
 CONTEXT = ("task_index", "page", "competition_code", "season_start_year")
@@ -73,6 +73,9 @@ def explode_records(landing: DataFrame, entity: str) -> DataFrame:
         return ok.select(*context_columns(), F.posexplode(items).alias("_pos", REC))
 
     groups = ok.select(*context_columns(), F.posexplode(items).alias("_gpos", GRP))
+    # A table that reads as an array says that the group is an object holding one: only the other
+    # groups are looked at type by type (the type of a group is worked out from every row of its table).
+    groups = groups.select("*", F.try_variant_get(F.col(GRP), "$.table", "array<variant>").alias("_rows"))
     gt = F.schema_of_variant(F.col(GRP))
     table = F.variant_get(F.col(GRP), "$.table", "variant")
     tt = F.schema_of_variant(table)
@@ -85,10 +88,10 @@ def explode_records(landing: DataFrame, entity: str) -> DataFrame:
         ),
         lambda x: x.isNotNull(),
     )
-    rows = F.when(F.size(pre) == 0, F.try_variant_get(F.col(GRP), "$.table", "array<variant>")).otherwise(
-        F.array(F.parse_json(F.lit("null")))
-    )
-    return groups.select(*CONTEXT, "_gpos", GRP, pre.alias(PRE), F.posexplode(rows).alias("_pos", REC))
+    pre = F.when(F.col("_rows").isNull(), pre).otherwise(F.array().cast(ERRORS_TYPE))
+    rows = F.coalesce("_rows", F.when(F.size(PRE) > 0, F.array(F.parse_json(F.lit("null")))))
+    return groups.select(*CONTEXT, "_gpos", GRP, "_rows", pre.alias(PRE)).select(
+        *CONTEXT, "_gpos", GRP, PRE, F.posexplode(rows).alias("_pos", REC))
 
 
 def failed_tasks(landing: DataFrame, array_key: str) -> DataFrame:
