@@ -55,6 +55,8 @@ def q_interval_open_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", F.col("user_id").alias("customer"),
         ((F.unix_seconds(F.col("ts").cast("timestamp")) - 1704067200) * 80 + 788918400).alias("at"))
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("customer"), "o_orderdate")
+    # a customer without events has no pair: the orders of the others only meet their lines
+    orders = orders.join(events.select("customer").distinct(), "customer", "left_semi")
     lines = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
     spans = lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
         "customer", "l_orderkey", "l_linenumber", F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("ordered"),

@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from feedlake.plans import queries_time
 from feedlake.operators.time_joins import asof_join, interval_join
 
 L = "k string, at bigint, id bigint"
@@ -99,3 +100,17 @@ def test_interval_join_empty_sides(spark):
     assert interval_join(dots.filter("false"), spans, "at", "s", "e").count() == 0
     assert interval_join(dots, spans.filter("false"), "at", "s", "e").count() == 0
     assert interval_join(dots, spans.filter("id > 5"), "at", "s", "e", ["k"]).count() == 0
+
+
+def test_lines_of_customers_without_events_do_not_reach_the_interval_join(spark, sf, monkeypatch):
+    seen, join = [], queries_time.interval_join
+
+    def watched(points, intervals, *args, **kwargs):
+        seen.append((points, intervals))
+        return join(points, intervals, *args, **kwargs)
+
+    monkeypatch.setattr(queries_time, "interval_join", watched)
+    assert queries_time.q_interval_open_orders(spark, sf).count() > 0
+    points, spans = seen[0]
+    assert spans.count() > 0
+    assert spans.join(points.select("customer").distinct(), "customer", "left_anti").count() == 0
