@@ -13,6 +13,13 @@ from feedlake.sinks import compact, csv_rows, writers
 from feedlake.sources import feeds
 
 
+def _flat(spark: SparkSession, rows: DataFrame, tag: str, schema) -> DataFrame:
+    """Flattened rows written once and read back, for queries that write them more than once."""
+    landed = scratch_path(spark, f"{tag}-flat")
+    rows.write.parquet(landed)
+    return spark.read.schema(schema).parquet(landed)
+
+
 @register("sink_partitioned", f"""
 SELECT match_date, count(*) AS n, CAST(sum(match_id) AS BIGINT) AS sum_id
 FROM ({MATCH_ROWS_SQL}) m
@@ -33,7 +40,7 @@ FROM ({STANDING_ROWS_SQL}) s GROUP BY competition_code
 def q_sink_append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2: appending the same rows twice doubles them (the client's re-run behaviour)."""
     path = scratch_path(spark, "standings")
-    rows = flatten_standings(feeds.standings_landing(spark, sf_dir))
+    rows = _flat(spark, flatten_standings(feeds.standings_landing(spark, sf_dir)), "standings", STANDING)
     for _ in range(2):
         writers.write_partitioned(rows, path, ["competition_code"], STANDING)
     back = writers.read_partitioned(spark, path, STANDING)
@@ -103,9 +110,8 @@ FROM ({MATCH_ROWS_SQL}) m GROUP BY competition_code
 """)
 def q_sink_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten appends of matches, compacted; rows of each competition and the number of its files before and after."""
-    path, landed = scratch_path(spark, "matches-appended"), scratch_path(spark, "matches-flat")
-    flatten_matches(feeds.matches_landing(spark, sf_dir)).write.parquet(landed)
-    rows = spark.read.schema(MATCH).parquet(landed)
+    path = scratch_path(spark, "matches-appended")
+    rows = _flat(spark, flatten_matches(feeds.matches_landing(spark, sf_dir)), "matches", MATCH)
     for i in range(10):
         writers.write_partitioned(rows.filter(F.col("match_id") % 10 == i), path, ["competition_code"], MATCH)
     sizes = F.sum("length").alias("bytes"), F.count("*").alias("n_files")

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from feedlake.plans import catalog
 from feedlake.schemas import SCORER
 from feedlake.session import scratch_path
 from feedlake.sinks import writers
@@ -79,3 +80,16 @@ def test_files_within_batch(spark):
     writers.write_partitioned(_rows(spark).coalesce(1), path, [], SCORER, batch_size=3)
     sizes = [r["count"] for r in spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()]
     assert sorted(sizes) == [1, 3, 3]
+
+
+@pytest.mark.parametrize("query", ["sink_append_twice"])
+def test_pages_are_flattened_once_for_two_writes(spark, sf, monkeypatch, query):
+    plans, write = [], writers.write_partitioned
+
+    def seen(df, *args, **kwargs):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df, *args, **kwargs)
+
+    monkeypatch.setattr(writers, "write_partitioned", seen)
+    assert catalog.queries()[query](spark, sf).agg({"n": "sum"}).first()[0] > 0
+    assert len(plans) == 2 and not any("payload" in p or "l_orderkey" in p for p in plans)
