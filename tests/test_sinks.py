@@ -82,7 +82,7 @@ def test_files_within_batch(spark):
     assert sorted(sizes) == [1, 3, 3]
 
 
-@pytest.mark.parametrize("query", ["sink_append_twice"])
+@pytest.mark.parametrize("query", ["sink_append_twice", "sink_upsert"])
 def test_pages_are_flattened_once_for_two_writes(spark, sf, monkeypatch, query):
     plans, write = [], writers.write_partitioned
 
