@@ -164,7 +164,7 @@ def write_store(responses: DataFrame, root: str) -> int:
 
     ``responses``: task_index, path, params, args, page, body [, status, retry_after, first_status]. A non-null
     ``first_status`` answers the first attempt (Retry-After 0), the rest of the row the later ones.
-    Files are written by executor tasks in parallel; returns the number written.
+    Files are written by executor tasks in parallel, dealt over 256 folders; returns the number written.
     """
     cols = responses.columns
     status = F.col("status") if "status" in cols else F.lit(200)
@@ -177,13 +177,18 @@ def write_store(responses: DataFrame, root: str) -> int:
     def put(batches):
         fs, base = tp.open_fs(root)
         fs.create_dir(base, recursive=True)
-        n = 0
+        n, folders = 0, set()
         for pdf in batches:
             for r in pdf.itertuples(index=False):
                 doc = {"status": int(r.status), "retry_after": r.retry_after, "body": r.body}
                 if not pd.isna(r.first_status):
                     doc = {"responses": [{"status": int(r.first_status), "retry_after": "0", "body": None}, doc]}
-                with fs.open_output_stream(f"{base.rstrip('/')}/{tp.request_key(r.url)}.json") as f:
+                path = f"{base.rstrip('/')}/{tp.stored_at(r.url)}"
+                folder = path.rsplit("/", 1)[0]
+                if folder not in folders:
+                    fs.create_dir(folder, recursive=True)
+                    folders.add(folder)
+                with fs.open_output_stream(path) as f:
                     f.write(json.dumps(doc).encode("utf-8"))
                 n += 1
         yield pd.DataFrame({"n": [n]})

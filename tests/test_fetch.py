@@ -200,3 +200,15 @@ def test_team_job_takes_matches_of_all_competitions(spark, sf, team):
     got = sorted((r.match_id, r.home_team_id, r.away_team_id) for r in queries_fetch.team_job(spark, sf, team, 10_000_000).collect())
     want = duck(sf).execute(f"SELECT match_id, home_team_id, away_team_id FROM ({queries_fetch.TEAM_SQL.format(team=team)}) t").fetchall()
     assert got == sorted(want) and got
+
+
+def test_stored_responses_are_dealt_over_folders_and_found(spark, tmp_path):
+    root = tmp_path / "store"
+    rows = spark.range(40).selectExpr("id AS task_index", "concat('/r/', id) AS path", "CAST(map() AS map<string,string>) AS params",
+                                      "CAST(1 AS bigint) AS page", "concat('body ', id) AS body")
+    assert write_store(rows, str(root)) == 40
+    assert not list(root.glob("*.json")) and len(list(root.glob("*/*.json"))) == 40
+    conf = {"kind": "file", "root": str(root)}
+    got = [tp.fetch(conf, f"/r/{i}", tp.Limiter(None)) for i in (0, 39, 40)]
+    assert [g["payload"] for g in got[:2]] == ["body 0", "body 39"]
+    assert [g["http_status"] for g in got] == [200, 200, 404]
