@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import csv
 import io
+import time
 import uuid
 from dataclasses import dataclass
 
@@ -53,7 +54,11 @@ class CsvRows(DataSource):
     def writer(self, schema: T.StructType, overwrite: bool) -> "CsvRowsWriter":
         if not overwrite:
             raise SinkError("csv_rows replaces its folder: use mode('overwrite')")
-        return CsvRowsWriter(schema, dict(self.options))
+        made = CsvRowsWriter(schema, dict(self.options))
+        # made here and never by a task, so a task that outlives an abort cannot bring it back
+        fs, folder = open_fs(made.staged)
+        fs.create_dir(folder, recursive=True)
+        return made
 
 
 class CsvRowsWriter(DataSourceArrowWriter):
@@ -77,7 +82,6 @@ class CsvRowsWriter(DataSourceArrowWriter):
         try:
             for batch in iterator:
                 if batch.num_rows and out is None:  # a task without rows leaves no file
-                    fs.create_dir(folder, recursive=True)
                     out = fs.open_output_stream(f"{folder}/{name}")
                 for at in range(0, batch.num_rows, PIECE_ROWS):
                     piece = batch.slice(at, PIECE_ROWS)
@@ -111,8 +115,15 @@ class CsvRowsWriter(DataSourceArrowWriter):
         import pyarrow.fs as pafs
 
         fs, folder = open_fs(self.staged)
-        if fs.get_file_info(folder).type == pafs.FileType.Directory:
-            fs.delete_dir(folder)
+        for last in [False] * 9 + [True]:
+            if fs.get_file_info(folder).type != pafs.FileType.Directory:
+                return
+            try:
+                fs.delete_dir(folder)
+            except OSError:  # a task not yet killed added a file meanwhile
+                if last:
+                    raise
+                time.sleep(0.1)
 
 
 def save(df: DataFrame, path: str, quoting: str = "minimal", fail_if_empty: bool = True) -> None:

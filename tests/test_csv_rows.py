@@ -3,9 +3,11 @@
 import csv
 import io
 from pathlib import Path
+from types import SimpleNamespace
 
 import duckdb
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from feedlake.schemas import SCORER
@@ -109,3 +111,14 @@ def test_writer_and_refusals(spark):
         csv_rows.save(rows, path, quoting="all")
     with pytest.raises(Exception, match="no text form"):
         csv_rows.save(rows.select(F.array("goals").alias("g")), path)
+
+
+def test_a_task_that_outlives_an_abort_leaves_nothing(spark, monkeypatch):
+    monkeypatch.setattr(TaskContext, "get", classmethod(lambda cls: SimpleNamespace(partitionId=lambda: 0)))
+    path = scratch_path(spark, "t-late")
+    source = csv_rows.CsvRows({"path": path})
+    writer = source.writer(_rows(spark).schema, True)
+    writer.abort([])
+    with pytest.raises(OSError):
+        writer.write(iter(_rows(spark).toArrow().to_batches()))
+    assert _beside(path) == []
