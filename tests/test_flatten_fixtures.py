@@ -1,6 +1,7 @@
 """Hand-written payloads covering the edge rows of FIXTURES.md."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -96,3 +97,15 @@ def test_standings_empty_table_gives_no_rows(spark):
     payload = {"standings": [{"stage": "REGULAR", "type": "TOTAL", "table": []}]}
     land = _landing(spark, "standings", [payload], {"competition": "PL", "season": "2024"})
     assert flatten_entity(land, "standings").valid.count() == 0
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_filter_on_errors_stays_above_the_checks(spark):
+    v = flatten_entity(_landing(spark, "competition_matches", [{"matches": [_match()]}]), "matches", "quarantine")
+    for df in (v.valid, v.rejects):
+        filters = [line for line in _plan(df).splitlines() if line.lstrip(" :+-*()0123456789").startswith("Filter")]
+        assert any("_errors" in line for line in filters)
+        assert not any("schemaOfVariant" in line or "variant_get" in line for line in filters)
