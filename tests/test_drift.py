@@ -5,7 +5,8 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from feedlake.operators.drift import LEVELS, drift_report, expected_paths, leaf_types
+from feedlake.operators import drift
+from feedlake.operators.drift import LEVELS, drift_report, expected_paths, leaf_types, plain_shape
 from feedlake.schemas import MATCH_FIELDS, FieldSpec
 
 FIELDS = (FieldSpec("a", "id"), FieldSpec("b", "x.name", "string"), FieldSpec("c", "x.rank", "long", "nullable"),
@@ -83,3 +84,30 @@ def test_expected_paths_of_the_match_record():
     allowed, needed, parents = expected_paths(MATCH_FIELDS)
     assert allowed["utcDate"] == {"STRING"} and allowed["season.startDate"] == {"STRING"}
     assert allowed["score.winner"] == {"STRING", "VOID"} and "matchday" not in needed and "score.fullTime" in parents
+
+
+def test_only_departing_records_are_walked(spark, monkeypatch):
+    plain = [(g, r) for g, r in RECORDS if g in ("g", None)][:1] * 20 + [RECORDS[4]] * 20
+    walked = []
+
+    def counted(records, by=(), column="_rec"):
+        walked.append(records.count())
+        return leaf_types(records, by, column)
+
+    monkeypatch.setattr(drift, "leaf_types", counted)
+    out = {(r.g, r.path, r.type, r.n, r.drift) for r in drift_report(_frame(spark, plain + RECORDS[1:2]), FIELDS, ("g",)).collect()}
+    assert walked == [1]
+    assert out == {("g", "id", "STRING", 1, "changed"), ("g", "x.name", "BIGINT", 1, "changed")}
+
+
+def test_plain_shape(spark):
+    texts = {'{"id":1,"x":{"name":"n","rank":null}}': True, '{"note":null,"x":{"rank":2,"name":"n"},"id":1}': True,
+             '{"id":1,"x":{"name":"n"}}': False, '{"id":1,"x":{"name":"n","rank":1},"more":[]}': False,
+             '{"id":1,"x":{"name":"n","rank":1},"note":"","id2: BIGINT":1}': False, '{"id":1.0,"x":{"name":"n","rank":1}}': False,
+             '{"id":null,"x":{"name":"n","rank":1}}': False, '{"id":1,"x":[{"name":"n","rank":1}]}': False, '[]': False}
+    rows = spark.createDataFrame([(t,) for t in texts], "j string")
+    got = rows.select("j", F.schema_of_variant(F.parse_json("j")).rlike(plain_shape(FIELDS)).alias("ok")).collect()
+    assert {r.j: r.ok for r in got} == texts
+    assert plain_shape((FieldSpec("a", "a"), FieldSpec("b", "a.b"))) is None
+    assert plain_shape((FieldSpec("a", "x"), FieldSpec("b", "x", "string"))) is None
+    assert plain_shape((FieldSpec("a", "odd key"),)) is None
