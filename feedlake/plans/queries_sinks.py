@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from feedlake.operators.entity import flatten_matches, flatten_scorers, flatten_standings
 from feedlake.plans.catalog import MATCH_ROWS_SQL, SCORER_ROWS_SQL, STANDING_ROWS_SQL, register
@@ -111,9 +112,12 @@ FROM ({MATCH_ROWS_SQL}) m GROUP BY competition_code
 def q_sink_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten appends of matches, compacted; rows of each competition and the number of its files before and after."""
     path = scratch_path(spark, "matches-appended")
-    rows = _flat(spark, flatten_matches(feeds.matches_landing(spark, sf_dir)), "matches", MATCH)
+    rows = flatten_matches(feeds.matches_landing(spark, sf_dir)).withColumn("batch", F.col("match_id") % 10)
+    landed = scratch_path(spark, "matches-flat")
+    rows.write.partitionBy("batch").parquet(landed)  # so that an append reads its own rows alone
+    rows = spark.read.schema(StructType([*MATCH, StructField("batch", LongType())])).parquet(landed)
     for i in range(10):
-        writers.write_partitioned(rows.filter(F.col("match_id") % 10 == i), path, ["competition_code"], MATCH)
+        writers.write_partitioned(rows.filter(F.col("batch") == i), path, ["competition_code"], MATCH)
     sizes = F.sum("length").alias("bytes"), F.count("*").alias("n_files")
     before = compact.live_files(spark, path, version=0).groupBy("folder").agg(*sizes)
     compact.compact(spark, path, MATCH, ["competition_code"], ["match_date", "match_id"])

@@ -117,3 +117,18 @@ def test_conflict_and_lost_rows_change_nothing(spark, monkeypatch):
         with pytest.raises(SinkError):
             compact.compact(spark, path, SCHEMA, ["part"], ["id"])
     assert _rows(compact.read(spark, path, SCHEMA)) == want
+
+
+def test_an_append_reads_its_own_rows(spark, monkeypatch):
+    from feedlake.plans import queries_sinks
+
+    plans, write = [], queries_sinks.writers.write_partitioned
+
+    def seen(df, *args, **kw):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, *args, **kw)
+
+    monkeypatch.setattr(queries_sinks.writers, "write_partitioned", seen)
+    rows = queries_sinks.q_sink_compaction(spark, "/root/testdata/sf0.001").collect()
+    assert rows and len(plans) == 10
+    assert all("batch" in p.split("PartitionFilters: [", 1)[1].split("]", 1)[0] for p in plans)
