@@ -3,11 +3,11 @@
 The flatten is a short chain of native projections over a VARIANT record
 column; no Python runs per row and Catalyst prunes what the plan does not
 read. Stages:
-  1. extract every leaf path once (VARIANT)
+  1. extract the leaves (VARIANT): those of a record in one pass over it
   2. per extracted value: its type name and its text rendering; a parent is read
      only where no leaf below it is there
   3. per field: coerced value
-  4. per absent value: reject reason
+  4. per absent value: reject reason; the reasons found, listed
 Splitting keeps each generated method small and evaluates each path once
 (Catalyst does not merge projections that would duplicate non-cheap work).
 
@@ -23,6 +23,9 @@ quarantine or keep. Reasons:
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +37,8 @@ GRP = "_grp"
 PRE = "_pre_errors"
 ERRORS = "_errors"
 PART = "_part"
+LEAVES = "_leaves"
+PLAIN_NAME = re.compile("[A-Za-z_][A-Za-z0-9_]*")
 
 
 def _null_str() -> Column:
@@ -53,6 +58,33 @@ def _direct_long(f: FieldSpec) -> bool:
     return f.kind == "long" and f.derive is None
 
 
+def _leaf_ddl(paths: list[str]) -> str | None:
+    """Nested struct type with a VARIANT at every path; None where the paths are not the leaves of one tree of plain names."""
+    tree: dict = {}
+    for path in paths:
+        *above, last = path.split(".")
+        node = tree
+        for k in above:
+            node = node.setdefault(k, {})
+            if node is None:
+                return None
+        if node.setdefault(last) is not None:
+            return None
+
+    def ddl(node: dict) -> str | None:
+        below = {k: "variant" if x is None else ddl(x) for k, x in node.items()}
+        # (names that differ in case alone may be one name to Spark)
+        if None in below.values() or len({k.lower() for k in node}) < len(node) or not all(map(PLAIN_NAME.fullmatch, node)):
+            return None
+        return "struct<" + ", ".join(f"`{k}`: {t}" for k, t in below.items()) + ">"
+
+    return ddl(tree) if tree else None
+
+
+def _all(conds: list[Column]) -> Column:
+    return reduce(lambda a, b: a & b, conds)
+
+
 def _field_value(f: FieldSpec, t: Column, s: Column, i: Column | None = None) -> tuple[Column, Column]:
     """(value, conversion reason) for a present, non-null leaf."""
     if f.derive == "year4":
@@ -79,31 +111,44 @@ def flatten_records(records: DataFrame, entity: str | None, keep: tuple[str, ...
     carry = list(keep) + ([PRE] if has_pre else [])
 
     # Stage 1: each leaf, once.
-    leaves, parents = {}, {}
+    ddl = _leaf_ddl(list(dict.fromkeys(f.path for f in fields if f.source == "record")))
+    if ddl is not None:
+        records = records.withColumn(LEAVES, F.try_variant_get(F.col(REC), "$", ddl))
+    leaves, parents, at = {}, {}, {}
     for i, f in enumerate(fields):
         if f.source == "context":
             continue
-        leaves[f.name] = (f"_l{i}", F.variant_get(F.col(_base(f)), "$." + f.path, "variant"))
+        if (_base(f), f.path) in at:  # two fields of one path
+            leaves[f.name] = at[_base(f), f.path]
+        elif ddl is not None and f.source == "record":
+            leaves[f.name] = (f"_l{i}", F.col(f"{LEAVES}.{f.path}"))
+        else:
+            leaves[f.name] = (f"_l{i}", F.variant_get(F.col(_base(f)), "$." + f.path, "variant"))
+        at[_base(f), f.path] = leaves[f.name]
         for p in _parents(f.path):
             _, below = parents.setdefault((_base(f), p), (f"_p{len(parents)}", []))
-            below.append(f"_l{i}")
+            below.append(leaves[f.name][0])
     ctx = [F.col(f.path).alias(f"_c{i}") for i, f in enumerate(fields) if f.source == "context"]
     bases = sorted({REC} | {base for base, _ in parents})
-    s1 = records.select(*carry, *[F.col(b) for b in bases if b not in carry], *ctx, *[c.alias(n) for n, c in leaves.values()])
+    s1 = records.select(*carry, *[F.col(b) for b in bases if b not in carry], *ctx, *[c.alias(n) for n, c in at.values()])
 
     # Stage 2: type name + text of each leaf (a plain LONG leaf typed BIGINT is read
     # directly and needs no text). A leaf that is there says that its parents and its record are
     # objects: they are read, and their types worked out, only where every leaf below is absent.
-    by_name = {f.name: f for f in fields}
+    direct = {leaves[f.name][0] for f in fields if f.name in leaves and _direct_long(f)}
+    derived = {leaves[f.name][0] for f in fields if f.name in leaves and not _direct_long(f)}
 
-    def text(name: str, n: str) -> Column:
+    def text(n: str) -> Column:
         s = F.try_variant_get(F.col(n), "$", "string")
-        return F.when(F.schema_of_variant(F.col(n)) != "BIGINT", s) if _direct_long(by_name[name]) else s
+        return s if n in derived else F.when(F.schema_of_variant(F.col(n)) != "BIGINT", s)
 
     # The lambda keeps a projection out of whole-stage code: its code is then cut into small
     # methods. In one method it is beyond the 8000 bytes up to which the JVM compiles.
     def absent(below: list[str]) -> Column:
-        return F.forall(F.array(*below), lambda v: v.isNull()) if below else F.lit(True)
+        if not below:
+            return F.lit(True)
+        first = F.forall(F.array(below[0]), lambda v: v.isNull())
+        return _all([first, *[F.col(b).isNull() for b in dict.fromkeys(below[1:])]])
 
     def parent(base: str, path: str, below: list[str]) -> Column:
         t = F.schema_of_variant(F.variant_get(F.col(base), "$." + path, "variant"))
@@ -112,15 +157,14 @@ def flatten_records(records: DataFrame, entity: str | None, keep: tuple[str, ...
     s2 = s1.select(
         *carry, *[b for b in bases if b not in carry],
         *[f"_c{i}" for i, f in enumerate(fields) if f.source == "context"],
-        *[F.schema_of_variant(F.col(n)).alias(n + "t") for n, _ in leaves.values()],
-        *[text(name, n).alias(n + "s") for name, (n, _) in leaves.items()],
-        *[F.try_variant_get(F.col(n), "$", "bigint").alias(n + "i") for name, (n, _) in leaves.items()
-          if _direct_long(by_name[name])],
+        *[F.schema_of_variant(F.col(n)).alias(n + "t") for n, _ in at.values()],
+        *[text(n).alias(n + "s") for n, _ in at.values()],
+        *[F.try_variant_get(F.col(n), "$", "bigint").alias(n + "i") for n, _ in at.values() if n in direct],
         *[parent(base, p, below).alias(n + "r") for (base, p), (n, below) in parents.items()],
     )
 
     # Stage 3: values. A value that is there has no reason to be rejected.
-    values, checks = [], []
+    values, reasons = [], []
     for i, f in enumerate(fields):
         dtype = "bigint" if f.kind == "long" else "string"
         if f.source == "context":
@@ -136,22 +180,25 @@ def flatten_records(records: DataFrame, entity: str | None, keep: tuple[str, ...
             pr = [F.col(parents[(_base(f), p)][0] + "r") for p in _parents(f.path)]
             r = F.coalesce(*pr, r) if pr else r
         values.append(v.cast(dtype).alias(f"_v{i}"))
-        r = F.when(F.col(f"_v{i}").isNull(), r)
-        checks.append(F.when(r.isNotNull(), F.struct(F.lit(f.name).alias("field"), r.alias("reason"))))
+        reasons.append(F.when(F.col(f"_v{i}").isNull(), r).alias(f"_r{i}"))
     own = [leaves[f.name][0] + "t" for f in fields if f.name in leaves and _base(f) == REC]
     no = F.when(absent(own), ~F.schema_of_variant(F.col(REC)).startswith("OBJECT"))
     s3 = s2.select("*", *values, no.alias("_no"))
 
-    # Stage 4: reasons, of records with an absent value only.
+    # Stage 4: reasons, worked out for absent values only; listed for records that have one.
     found = [F.col(f"_v{i}") for i in range(len(fields))]
+    own_code = F.forall(F.array("_no"), lambda v: v)  # (see above)
+    s4 = s3.select(*carry, *found, own_code.alias("_no"), *reasons)
+    checks = [F.when(F.col(f"_r{i}").isNotNull(), F.struct(F.lit(f.name).alias("field"), F.col(f"_r{i}").alias("reason")))
+              for i, f in enumerate(fields)]
     not_object = F.when(F.col("_no"), F.array(F.struct(F.lit("_record").alias("field"), F.lit("type").alias("reason"))))
-    complete = F.forall(F.array(*[v.isNotNull() for v in found]), lambda v: v)
-    errs = F.when(complete, F.array().cast(ERRORS_TYPE)).otherwise(
+    sound = _all([F.col(f"_r{i}").isNull() for i in range(len(fields))])
+    errs = F.when(sound & ~F.coalesce("_no", F.lit(False)), F.array().cast(ERRORS_TYPE)).otherwise(
         F.coalesce(not_object, F.filter(F.array(*checks), lambda x: x.isNotNull())))
     if has_pre:
         errs = F.when(F.size(F.col(PRE)) > 0, F.col(PRE)).otherwise(errs)
     # ``_part`` (the task's partition id, reported by fail-fast errors) is
     # nondeterministic, so a filter on ``_errors`` stays above this projection
     # instead of being pushed below it with every check inlined a second time.
-    return s3.select(*keep, *[v.alias(f.name) for v, f in zip(found, fields)], errs.alias(ERRORS),
+    return s4.select(*keep, *[v.alias(f.name) for v, f in zip(found, fields)], errs.alias(ERRORS),
                      F.spark_partition_id().alias(PART))

@@ -109,3 +109,37 @@ def test_filter_on_errors_stays_above_the_checks(spark):
         filters = [line for line in _plan(df).splitlines() if line.lstrip(" :+-*()0123456789").startswith("Filter")]
         assert any("_errors" in line for line in filters)
         assert not any("schemaOfVariant" in line or "variant_get" in line for line in filters)
+
+
+def test_leaves_of_a_record_come_from_one_pass(spark):
+    out = flatten_entity(_landing(spark, "competition_matches", [{"matches": [_match()]}]), "matches").valid
+    assert "variant_get(_rec" in _plan(out)
+    # the parents, read where no leaf below is there; never a leaf of its own
+    assert not re.search(r"variant_get\(_rec#\d+, \$\.(competition\.id|utcDate|score\.fullTime\.home)\b", _plan(out))
+
+
+def test_specs_without_one_tree(spark):
+    """A path that is a leaf and a parent, names that differ in case, two kinds of one path, quoted names: leaf by leaf."""
+    rec = {"a": {"b": 1}, "A": {"c": "x"}, "id": 7, "n": "5", "odd": {"x y": 2}}
+    fields = (FieldSpec("a", "a", "string", "optional"), FieldSpec("b", "a.b"), FieldSpec("c", "A.c", "string"),
+              FieldSpec("n", "n"), FieldSpec("n_text", "n", "string"), FieldSpec("gone", "odd.gone", "long", "optional"))
+    rows = spark.createDataFrame([(json.dumps(rec),), (json.dumps({**rec, "n": 5, "odd": None}),)], "j string")
+    out = flatten_records(rows.select(F.parse_json("j").alias(REC)), None, fields=fields).collect()
+    assert [(r.b, r.c, r.n, r.n_text) for r in out] == [(1, "x", 5, "5"), (1, "x", 5, None)]
+    assert [[(e.field, e.reason) for e in r[ERRORS]] for r in out] == [
+        [("a", "type")], [("a", "type"), ("n_text", "type"), ("gone", "null_parent")]]
+
+
+def test_two_kinds_of_one_path_share_a_leaf(spark):
+    fields = (FieldSpec("n", "x.n"), FieldSpec("n_text", "x.n", "string"), FieldSpec("year", "x.n", "long", "nullable", derive="year4"))
+    texts = ['{"x": {"n": 2024}}', '{"x": {"n": "2024"}}', '{"x": {"n": null}}', '{"x": {}}', '{"x": [1]}', '{}', '[]', 'null', '{"x": {"n": 1.5, "m": 3}}']
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, j string")
+    out = flatten_records(rows.select("i", F.parse_json("j").alias(REC)), None, keep=("i",), fields=fields)
+    got = {r.i: (r.n, r.n_text, r.year, [(e.field, e.reason) for e in r[ERRORS]]) for r in out.collect()}
+    three = lambda *reasons: [(f, x) for f, x in zip(("n", "n_text", "year"), reasons) if x]
+    assert got == {
+        0: (2024, None, None, three(None, "type", "type")), 1: (2024, "2024", 2024, []),
+        2: (None, None, None, three("null", "null", None)), 3: (None, None, None, three("missing", "missing", "missing")),
+        4: (None, None, None, three("type", "type", "type")), 5: (None, None, None, three("missing", "missing", "missing")),
+        6: (None, None, None, [("_record", "type")]), 7: (None, None, None, [("_record", "type")]),
+        8: (None, None, None, three("type", "type", "type"))}
