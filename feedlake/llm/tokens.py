@@ -67,6 +67,8 @@ _LATIN, _LATIN_UPPER = np.zeros(256, bool), np.zeros(256, bool)
 _LATIN[0x80:0xC0] = True
 _LATIN_UPPER[0x80:0x9F] = True
 _LATIN[[0x97, 0xB7]] = _LATIN_UPPER[0x97] = False
+#: Masks of the first 0 to 8 bytes of a little-endian word.
+_FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 class Cache:
@@ -129,7 +131,11 @@ def split_units(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     after = mark + 1 + taken
     cut[after] |= inside[after]
     # strange chunks stay whole
-    odd = np.flatnonzero(np.add.reduceat(strange, starts)) if len(starts) else starts
+    hit = np.flatnonzero(strange)
+    if 16 * len(hit) < len(raw):
+        odd = np.unique(np.searchsorted(starts, hit, side="right") - 1)
+    else:
+        odd = np.flatnonzero(np.add.reduceat(strange, starts))
     if len(odd):
         step = np.zeros(len(raw) + 1, np.int8)
         step[starts[odd]] = 1
@@ -146,6 +152,30 @@ def split_units(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     return low, first, last, plain[chunk] if len(first) else np.ones(0, bool)
 
 
+def _distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(index of one element of each value, ascending by value; each element's place among the values)."""
+    order = np.argsort(h)
+    ranked = h[order]
+    new = np.ones(len(h), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    which = np.empty(len(h), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return order[new], which
+
+
+def same_spans(data: np.ndarray, starts: np.ndarray, others: np.ndarray, lengths: np.ndarray) -> bool:
+    """True if the bytes of each span equal those at the other start, compared eight at a time."""
+    words = np.ndarray(len(data), "<u8", np.concatenate((data, np.zeros(7, np.uint8))), 0, (1,)).copy()
+    left = np.flatnonzero(starts != others)
+    while len(left):
+        starts, others, lengths = starts[left], others[left], lengths[left]
+        if ((words[starts] ^ words[others]) & _FIRST_BYTES[np.minimum(lengths, 8)]).any():
+            return False
+        left = np.flatnonzero(lengths > 8)
+        starts, others, lengths = starts + 8, others + 8, lengths - 8
+    return True
+
+
 class Encoder:
     """Token ids of whole texts as little-endian unsigned 32-bit bytes."""
 
@@ -211,13 +241,9 @@ class Encoder:
         data, starts, ends, plain = split_units(np.frombuffer(b" ".join(texts) + b" ", np.uint8))
         lengths = ends - starts
         h = (span_hashes(data, starts, ends) >> np.uint64(1)) | (plain.astype(np.uint64) << np.uint64(63))  # plain units come last
-        _, first, which = np.unique(h, return_index=True, return_inverse=True)
-        # are equal hashes equal units? compared byte by byte; after a collision every unit is looked up
-        same = (lengths == lengths[first][which]).all()
-        if same:
-            at = np.arange(int(lengths.sum())) + np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
-            same = (data[at] == data[at + np.repeat(starts[first][which] - starts, lengths)]).all()
-        if not same:
+        first, which = _distinct(h)
+        # are equal hashes equal units? their bytes are compared; after a collision every unit is looked up
+        if not ((lengths == lengths[first][which]).all() and same_spans(data, starts, starts[first][which], lengths)):
             first = np.argsort(plain, kind="stable")
             which = np.argsort(first)
         raw = data.tobytes()
@@ -229,8 +255,8 @@ class Encoder:
         n = size[which]
         stops = np.cumsum(n)
         out = values[np.repeat(offsets[which] - (stops - n), n) + np.arange(int(stops[-1]) if len(n) else 0)].tobytes()
-        owner = np.searchsorted(np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1), starts, side="right")
-        bounds = 4 * np.concatenate(([0], np.cumsum(np.bincount(owner, n, len(texts)).astype(np.int64))))
+        units = np.searchsorted(starts, np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1))  # up to each text's end
+        bounds = 4 * np.concatenate(([0], np.concatenate(([0], stops))[units]))
         return [out[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:

@@ -80,6 +80,29 @@ def test_colliding_hashes_change_nothing(monkeypatch, vocabulary):
     assert enc.encode([x.encode()]) == [np.array(enc.lib.encode(x, add_special_tokens=False).ids, "<u4").tobytes()]
 
 
+def test_spans_are_compared_by_whole_bytes():
+    texts = [b"ab", b"abcdefgh", b"abcdefghijklmnopq", "\u65e5\u672c\u8a9e".encode() * 9]
+    for x in texts:
+        data = np.frombuffer(x + b" " + x + b" ", np.uint8)
+        a, b, n = np.array([0, 0]), np.array([0, len(x) + 1]), np.array([len(x), len(x)])
+        assert tokens.same_spans(data, a, b, n) and tokens.same_spans(data, b, a, n)
+        for at in range(len(x)):
+            other = data.copy()
+            other[len(x) + 1 + at] ^= 1
+            assert not tokens.same_spans(other, a, b, n) and not tokens.same_spans(other, b, a, n)
+    h = np.array([5, 1 << 63, 5, 0, 1 << 63], np.uint64)
+    first, which = tokens._distinct(h)
+    assert h[first].tolist() == [0, 5, 1 << 63] and (h[first][which] == h).all()
+
+
+def test_strange_chunks_are_found_where_few_and_where_many():
+    plain, odd = b"some words 12 it's ", "caf\u00e9 \u65e5\u672c <|x a<|b ".encode()
+    for text in (plain * 50 + odd, odd * 50 + plain, odd, plain, b" "):
+        _, first, last, kind = tokens.split_units(np.frombuffer(text + b" ", np.uint8))
+        strange = {text[a:b] for a, b, k in zip(first.tolist(), last.tolist(), kind.tolist()) if not k}
+        assert strange == ({"\u65e5\u672c".encode(), b"<|x", b"a<|b"} if odd in text else set())
+
+
 def test_token_files(spark, documents, vocabulary, tmp_path):
     out = str(tmp_path / "ids")
     tokens.write_tokens(documents, vocabulary, out)
