@@ -14,6 +14,9 @@ LOWER = UPPER.lower()
 #: Larger tables are joined by an ordinary shuffle.
 BROADCAST_ROWS = 50_000
 
+#: Spark's setting that removes the shuffle files of a query when it ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def text_of(name: str = "text") -> Column:
     """The text column with null as the empty text."""
@@ -29,11 +32,18 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
     This cuts the lineage (a lost executor re-reads the files instead of
-    recomputing) and lets several consumers read one result.
+    recomputing) and lets several consumers read one result. The shuffle files of this write are of no use
+    once it is done and go at once; else they would stay until the driver collects its garbage.
     """
-    path = scratch_path(df.sparkSession, tag)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, tag)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def small_arrow_batches(spark, rows: int = 1000, size: str = "8m") -> None:

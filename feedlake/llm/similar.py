@@ -67,6 +67,8 @@ BLOCK = 256
 #: One comparison of two sketches in a block (about 0.2 microseconds for sets of some hundred elements), measured in rows of
 #: an index that are made, shuffled and sorted (about 4 microseconds).
 COMPARISON_COST = 1 / 16
+#: Rounds in which overlapping groups find a common label.
+HOPS = 2
 RARE = 1e-3
 #: Sets that a task remembers to have indexed; equal sets met again later are removed by the aggregation that follows.
 SEEN = 1 << 17
@@ -281,7 +283,9 @@ def _close(percent: int, a: str, b: str) -> Column:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose sets are similar, decided on the elements."""
+    """Pairs (a, b) whose sets are similar, decided on the elements; only the sets of some pair are moved."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = sets.join(bounded_broadcast(written(ends, "similar-ends")), "node", "left_semi")
     a = sets.select(F.col("node").alias("a"), F.col("elements").alias("ea"))
     b = sets.select(F.col("node").alias("b"), F.col("elements").alias("eb"))
     both = F.size(F.array_intersect("ea", "eb")).cast("bigint")
@@ -333,8 +337,10 @@ def link_classes(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, Data
     found = written(found.withColumn("costly", costly).drop("k", "mean"), "similar-rows")
 
     sets = texts.join(bounded_broadcast(nodes.select(F.col("node").alias("doc_id"))), "doc_id")
+    if not index.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        sets = sets.dropDuplicates(["doc_id"])
     sets = written(sets.withColumnRenamed("doc_id", "node").mapInArrow(
-        _set_batches(k), f"node {kind}, elements array<bigint>").dropDuplicates(["node"]), "similar-sets")
+        _set_batches(k), f"node {kind}, elements array<bigint>"), "similar-sets")
 
     comp = nodes.select("node", F.col("node").alias("component"))
     live = _mixed(_with_component(found, comp))
@@ -348,11 +354,12 @@ def link_classes(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, Data
     side = ["sig", "node", "n", "wide", "comp", "whole"]
     wide = nodes.select("node", "wide")
     rest = _mixed(_with_component(found.drop("sketch"), comp)).withColumn("k", F.count("*").over(w))
-    rest = written(rest.filter(F.col("costly") | (F.col("k") > 2)).select("sig", "node", "n", "comp", "costly"), "similar-rest")
+    rest = written(rest.filter(F.col("costly") | (F.col("k") > 2)).select("sig", "node", "n", "comp", "costly", "k"), "similar-rest")
     # (a group of two has been compared by the star round)
-    pairs = _across(rest.filter(~F.col("costly")).withColumn("whole", F.lit(True)).join(wide, "node").select(*side), percent)
-    again = rest.filter("costly").select("node").distinct()
-    second = sets.join(again, "node", "left_semi").mapInArrow(
+    cheap = written(_overlapping(rest.filter(~F.col("costly")).drop("costly")), "similar-overlapping")
+    pairs = _across(cheap.withColumn("whole", F.lit(True)).join(wide, "node").select(*side), percent)
+    again = written(rest.filter("costly").select("node").distinct(), "similar-again")
+    second = sets.join(bounded_broadcast(again), "node", "left_semi").mapInArrow(
         _deletion_batches(percent), f"sig bigint, node {kind}, whole boolean")
     second = _mixed(_with_component(second.join(nodes.select("node", "n"), "node"), comp))
     second = written(second.select("sig", "node", "n", "comp", "whole"), "similar-deletion")
@@ -376,6 +383,25 @@ def _groups(shared: DataFrame) -> DataFrame:
     return members.join(joined, "lead").select(F.col("lead").alias("sig"), "h1").unionByName(own)
 
 
+def _overlapping(rows: DataFrame) -> DataFrame:
+    """(sig, node, n, comp): groups (of k rows) that overlap as one, where that costs no more; a member's sketch is then sent once.
+
+    Each group takes the smallest label of the groups that it shares a member with, ``HOPS`` times. A group is merged
+    whole, so its pairs still meet, whatever the labels.
+    """
+    rows = rows.withColumn("label", F.col("sig"))
+    for _ in range(HOPS):
+        for key in ("node", "sig"):
+            rows = rows.withColumn("label", F.min("label").over(Window.partitionBy(key)))
+    rows = written(rows, "similar-labels")
+    members = rows.groupBy("label", "node").agg(F.sum("k").alias("cost"), F.first("n").alias("n"), F.first("comp").alias("comp"))
+    joined = members.groupBy("label").agg(F.count("*").alias("size"), F.sum("cost").alias("cost")).filter(
+        F.col("size") * F.col("size") <= 2 * F.col("cost")).select("label")
+    joined = written(joined, "similar-merged")
+    own = rows.join(joined, "label", "left_anti").select("sig", "node", "n", "comp")
+    return members.join(joined, "label").select(F.col("label").alias("sig"), "node", "n", "comp").unionByName(own)
+
+
 def _fold(m: np.ndarray, words: int) -> np.ndarray:
     """Sketches of fewer cells (a power of two of them) from those of more."""
     while m.shape[1] > words:

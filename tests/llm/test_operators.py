@@ -1,6 +1,9 @@
 """Operators without an SQL form, against brute force, exact round trips or held-out accuracy."""
 
 import collections
+import pathlib
+import tempfile
+import time
 import zlib
 
 import numpy as np
@@ -8,7 +11,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from feedlake.llm import html_text, mixing, quality, similar, suffix_dedup, tokens, url_rules, words
+from feedlake.llm import common, html_text, mixing, quality, similar, suffix_dedup, tokens, url_rules, words
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -328,6 +331,42 @@ def test_join_of_costly_buckets(spark, monkeypatch):
     assert got == components_by_brute_force(rows, 3, 90)
 
 
+def test_overlapping_groups_send_a_member_once(spark):
+    """30 sets in 20 groups of 27 each are compared as one group; small groups around one set stay as they are."""
+    dense = [(g, n) for g in range(20) for n in range(30) if n % 10 != g % 10]
+    hub = [(100 + g, n) for g in range(12) for n in (1000, 2000 + 2 * g, 2001 + 2 * g)]
+    k = collections.Counter(g for g, _ in dense + hub)
+    rows = [(g, n, 50, n, k[g]) for g, n in dense + hub]
+    got = similar._overlapping(spark.createDataFrame(rows, "sig long, node long, n long, comp long, k long").repartition(3)).collect()
+    assert all((r.n, r.comp) == (50, r.node) for r in got)
+    assert sorted(r.node for r in got if r.node < 1000) == list(range(30))
+    assert sorted((r.sig, r.node) for r in got if r.node >= 1000) == sorted(hub)
+
+    def pairs(members):
+        groups = collections.defaultdict(set)
+        for g, n in members:
+            groups[g].add(n)
+        return {(a, b) for m in groups.values() for a in m for b in m if a < b}
+
+    assert pairs(dense + hub) <= pairs((r.sig, r.node) for r in got)
+
+
+def test_written_leaves_no_shuffle_files(spark):
+    top = spark.sparkContext.getConf().get("spark.local.dir", tempfile.gettempdir())
+
+    def found():
+        return {str(f) for f in pathlib.Path(top).glob("**/blockmgr-*/*/shuffle_*.data")}
+
+    before = found()
+    out = common.written(spark.range(1000).groupBy((F.col("id") % 7).alias("x")).count(), "shuffled")
+    deadline = time.time() + 20
+    while found() - before and time.time() < deadline:
+        time.sleep(0.2)
+    assert not found() - before
+    assert out.agg(F.sum("count")).first()[0] == 1000
+    assert spark.conf.get(common.SHUFFLE_CLEANUP) == "false"
+
+
 @pytest.mark.parametrize("percent", [80, 90])
 def test_signatures_are_complete(percent):
     """Any two sets at the threshold share an exact signature and a deletion signature."""
