@@ -29,6 +29,8 @@ Groups. Sets that are nearly similar share many subsets, so buckets repeat
 each other. Buckets with the same members become one, and the buckets of one leader (their smallest
 member) become one group where comparing all its members costs no more than
 comparing the members of each bucket.
+After the star round (below) groups that overlap become one by the same rule, so
+that a set's wide sketch is sent once, not once for each group.
 
 Components. Only connected components are asked for, so pairs already
 connected are not compared: a star round links every member of a group to
